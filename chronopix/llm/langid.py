@@ -1,6 +1,6 @@
 """Language identification by rank order of n-grams.
 
-A profile is the most frequent n-grams (1 to 4 letters, word ends marked) in order. A document's own most frequent n-grams
+A profile is the most frequent n-grams (1 to 3 letters, word ends marked) in order. A document's own most frequent n-grams
 are compared with every language's profile: each adds how far its place is out of the place it has there, or the largest
 distance if the profile lacks it. The language that is least out of place is predicted.
 """
@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from chronopix.llm.common import bucket, only
 
 #: Longest n-gram; n-grams of a language's profile; n-grams of a document's.
-LONGEST, PROFILE, OWN = 4, 1_000, 300
+LONGEST, PROFILE, OWN = 3, 1_000, 300
 #: Distinct words that a task counts or keeps n-grams of at once; memory only.
 WORDS = 150_000
 #: Languages that profiles are kept for; more are an error, for profiles are sent to every executor.
@@ -88,10 +88,9 @@ class Ranker:
 
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
-        self.tie: list[int] = []
-        self.places: list[list[int]] = []
+        self.tie = np.zeros(1 << 12, np.int64)  # by n-gram: its crc32, and its place in every profile
+        self.places = np.zeros((1 << 12, len(self.names)), np.int32)
         self.by_word: dict[str, np.ndarray] = {}
-        self.arrays = (np.zeros(0, np.int64), np.zeros((0, len(self.names)), np.int32))
 
     def _word(self, w: str) -> np.ndarray:
         ids = []
@@ -99,8 +98,10 @@ class Ranker:
             i = self.ids.get(g)
             if i is None:
                 i = self.ids[g] = len(self.ids)
-                self.tie.append(zlib.crc32(g.encode()))
-                self.places.append([self.profile[n].get(g, -1) for n in self.names])
+                if i == len(self.tie):
+                    self.tie, self.places = np.concatenate([self.tie, self.tie]), np.concatenate([self.places, self.places])
+                self.tie[i] = zlib.crc32(g.encode())
+                self.places[i] = [self.profile[n].get(g, -1) for n in self.names]
             ids.append(i)
         out = self.by_word[w] = np.array(ids, np.int32)
         return out
@@ -117,11 +118,9 @@ class Ranker:
         ids = np.concatenate(parts)
         if not len(ids):
             return "und", 0.0
-        if len(self.arrays[0]) != len(self.tie):
-            self.arrays = (np.array(self.tie, np.int64), np.array(self.places, np.int32).reshape(-1, len(self.names)))
-        tie, places = self.arrays
+        tie, places = self.tie, self.places
         weights = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) for p in parts])
-        total = np.bincount(ids, weights=weights, minlength=0)
+        total = np.bincount(ids, weights=weights)
         there = np.nonzero(total)[0]
         key = (total[there].astype(np.int64) << 32) | (0xFFFFFFFF - tie[there])
         if len(key) > self.own:

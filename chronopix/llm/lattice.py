@@ -5,8 +5,9 @@ as whole pieces. A word's probability is the sum over all its segmentations of t
 forward recursion in log space; no piece goes over a word's end, so a document's is the product over its words and its end.
 
 Scores: the file's own are the start (a ranked file's by Zipf's law). Every training word gives a discount d of its
-count to its segmentations, whose expected piece counts under the start (forward-backward over every distinct training
-word) become the pieces' scores, and keeps the rest as a whole piece. d is n1 / (n1 + 2 n2), of words met once and twice.
+count to its segmentations, and keeps the rest as a whole piece; d is n1 / (n1 + 2 n2), of words met once and twice. The
+expected piece counts of those segmentations under the start (forward-backward over every distinct training word), with
+one word end each, become the pieces' scores. So the pieces spell a word with their sum's share of all training counts.
 
 Each distinct word is scored once. Frequent words' scores, a bounded number, are sent to where the texts are; the
 counts of the others go to their scores by a join on the word.
@@ -156,12 +157,13 @@ def _types(documents: DataFrame) -> DataFrame:
 class Scores:
     """What scores a word, given its training count."""
 
-    def __init__(self, lattice: Lattice, z: float, discount: float, base: float):
-        self.lattice, self.z, self.discount, self.base = lattice, z, discount, base
+    def __init__(self, lattice: Lattice, spelled: float, z: float, discount: float, base: float):
+        """spelled: log of the share of words that are spelled by pieces, times that of a word's end among pieces."""
+        self.lattice, self.spelled, self.z, self.discount, self.base = lattice, spelled, z, discount, base
 
     def word(self, word: str, c: int) -> float:
         """log10 of the sum over the word's segmentations, itself as a whole piece among them."""
-        p = self.lattice.forward(word)
+        p = self.spelled + self.lattice.forward(word)
         if c > self.discount:
             whole = math.log((c - self.discount) / self.z)
             m = max(p, whole)
@@ -185,12 +187,13 @@ def fit(types: DataFrame, train_docs: int, start: Lattice) -> tuple[Scores, dict
     counts = np.full(len(start.names), FLOOR)
     for r in types.where("c > 0").select("word").mapInArrow(expect, "piece int, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect():
         counts[r["piece"]] += r["e"]
-    end = train_docs + 0.5
-    z = words - discount * v + float(counts.sum()) + end
-    tuned = Lattice(start.names, np.log(counts / z).tolist(), start.bytes)
+    end, spelled = train_docs + 0.5, discount * max(v, 1)
+    z = words - discount * v + spelled + end
+    pieces = float(counts.sum()) + spelled
+    tuned = Lattice(start.names, np.log(counts / pieces).tolist(), start.bytes)
     n, distinct = words + train_docs, v + (train_docs > 0)
     base = n + 0.5 * (distinct + 1)
-    return Scores(tuned, z, discount, base), {"train_tokens": n, "end": math.log10(end / z), "base_end": math.log10((train_docs + 0.5) / base), "train_docs": train_docs}
+    return Scores(tuned, math.log(spelled / z) + math.log(spelled / pieces), z, discount, base), {"train_tokens": n, "end": math.log10(end / z), "base_end": math.log10((train_docs + 0.5) / base), "train_docs": train_docs}
 
 
 def score(documents: DataFrame, tokenizer_file: str, held_out) -> DataFrame:
