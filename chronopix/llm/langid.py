@@ -7,10 +7,9 @@ distance if the profile lacks it. The language that is least out of place is pre
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,46 +21,110 @@ from chronopix.llm.common import bucket, only
 
 #: Longest n-gram; n-grams of a language's profile; n-grams of a document's.
 LONGEST, PROFILE, OWN = 3, 1_000, 300
-#: Distinct words that a task counts or keeps n-grams of at once; memory only.
-WORDS = 150_000
+#: N-grams that a task keeps numbers of; memory only.
+KEPT = 600_000
 #: Languages that profiles are kept for; more are an error, for profiles are sent to every executor.
 LANGUAGES = 2_000
 
-_WORD = re.compile(r"[^\W\d_]+")
 
+def grams(text: str) -> list[str]:
+    """The n-grams of a text's words, with repeats. Words are runs of letters of the lower-cased text; an end is marked _."""
+    out = []
+    for letters, run in groupby(text.lower(), str.isalpha):
+        if letters:
+            w = f"_{''.join(run)}_"
+            out += [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1) if n > 1 or w[i] != "_"]
+    return out
+
+
+class Numbers:
+    """Numbers the n-grams of texts. Texts whose letters are among the first 127 met go by array operations: a letter has 7 bits,
+    an n-gram's bits are its place in a table of numbers. Other texts go by their strings, to the same numbers."""
+
+    BITS = 7
+    UNSET, RARE = 255, 254
+
+    def __init__(self) -> None:
+        self.char = np.full(0x110000, self.UNSET, np.uint8)
+        self.letters = ["_"]
+        self.start = [0, 1 << self.BITS, (1 << self.BITS) + (1 << 2 * self.BITS)]
+        self.clear()
 
-def grams(word: str) -> list[str]:
-    """The n-grams of a word, with repeats; none for a word without a letter."""
-    if not any(map(str.isalpha, word)):
-        return []
-    w = f"_{word}_"
-    return [w[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(w) - n + 1) if n > 1 or w[i] != "_"]
+    def clear(self) -> None:
+        self.table = np.full(sum(1 << self.BITS * n for n in (1, 2, 3)), -1, np.int32)
+        self.ids: dict[str, int] = {}
 
+    def number(self, gram: str) -> int:
+        return self.ids.setdefault(gram, len(self.ids))
+
+    def _meet(self, codes: np.ndarray) -> None:
+        for c in np.unique(codes).tolist():
+            if not chr(c).isalpha():
+                self.char[c] = 0
+            elif len(self.letters) < 1 << self.BITS:
+                self.char[c] = len(self.letters)
+                self.letters.append(chr(c))
+            else:
+                self.char[c] = self.RARE
+
+    def __call__(self, text: str) -> np.ndarray:
+        """The numbers of a text's n-grams, with repeats."""
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+        c = self.char[codes]
+        if (fresh := c == self.UNSET).any():
+            self._meet(codes[fresh])
+            c = self.char[codes]
+        if (c == self.RARE).any():
+            return np.fromiter(map(self.number, grams(text)), np.int64)
+        padded = np.zeros(len(c) + 2, np.int32)
+        padded[1:-1] = c
+        a, b, d = padded[:-2], padded[1:-1], padded[2:]
+        middle = b != 0
+        pairs = (padded[:-1] | padded[1:]) != 0
+        two = (padded[:-1][pairs] << self.BITS) | padded[1:][pairs]
+        three = (a[middle] << 2 * self.BITS) | (b[middle] << self.BITS) | d[middle]
+        places = np.concatenate([b[middle], two + self.start[1], three + self.start[2]])
+        out = self.table[places]
+        if (new := out < 0).any():
+            for p in np.unique(places[new]).tolist():
+                self.table[p] = self.number(self._gram(p))
+            out = self.table[places]
+        return out
 
-def words(text: str | None) -> Counter[str]:
-    return Counter(_WORD.findall(text.lower())) if text else Counter()
+    def _gram(self, place: int) -> str:
+        n = 1 if place < self.start[1] else 2 if place < self.start[2] else 3
+        place -= self.start[n - 1]
+        return "".join(self.letters[place >> self.BITS * (n - 1 - i) & (1 << self.BITS) - 1] for i in range(n))
 
 
 def profiles(documents: DataFrame, longest: int = PROFILE) -> dict[str, list[str]]:
     """The profile of every language from all rows with a lang: n-grams by count, ties by code point. No row with letters: no language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, Counter[str]] = {}
+        numbers, seen = Numbers(), {}
 
         def out() -> Iterator[pa.RecordBatch]:
-            for lang, by in seen.items():
-                total: Counter[str] = Counter()
-                for w, n in by.items():
-                    for g in grams(w):
-                        total[g] += n
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(total), pa.string()), pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "gram", "n"])
+            names = np.array(list(numbers.ids), dtype=object)
+            for lang, total in seen.items():
+                there = np.nonzero(total)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(names[there], pa.string()), pa.array(total[there].astype(np.int64))], names=["lang", "gram", "n"])
             seen.clear()
+            numbers.clear()
 
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen.setdefault(lang, Counter()).update(words(text))
-            if sum(map(len, seen.values())) > WORDS:
-                yield from out()
+                if not text:
+                    continue
+                own = np.bincount(numbers(text))
+                total = seen.get(lang)
+                if total is None or len(total) < len(own):
+                    grown = np.zeros(max(1 << 14, 2 * len(own)), np.int64)
+                    if total is not None:
+                        grown[: len(total)] = total
+                    total = seen[lang] = grown
+                total[: len(own)] += own
+                if len(numbers.ids) > KEPT:
+                    yield from out()
         yield from out()
 
     counted = documents.where(F.col("lang").isNotNull()).select("text", "lang").mapInArrow(count, "lang string, gram string, n bigint")
@@ -78,56 +141,49 @@ def profiles(documents: DataFrame, longest: int = PROFILE) -> dict[str, list[str
 
 
 class Ranker:
-    """Predicts by out-of-place distance; keeps the n-grams of words met before."""
+    """Predicts by out-of-place distance."""
 
     def __init__(self, known: dict[str, list[str]], own: int = OWN):
         self.names, self.own = sorted(known), own
         self.far = max([own, *map(len, known.values())], default=own)
         self.profile = {n: {g: i for i, g in enumerate(known[n])} for n in self.names}
+        self.numbers = Numbers()
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[str, int] = {}
+        self.numbers.clear()
+        self.told = 0
         self.tie = np.zeros(1 << 12, np.int64)  # by n-gram: its crc32, and its place in every profile
         self.places = np.zeros((1 << 12, len(self.names)), np.int32)
-        self.by_word: dict[str, np.ndarray] = {}
-
-    def _word(self, w: str) -> np.ndarray:
-        ids = []
-        for g in grams(w):
-            i = self.ids.get(g)
-            if i is None:
-                i = self.ids[g] = len(self.ids)
-                if i == len(self.tie):
-                    self.tie, self.places = np.concatenate([self.tie, self.tie]), np.concatenate([self.places, self.places])
-                self.tie[i] = zlib.crc32(g.encode())
-                self.places[i] = [self.profile[n].get(g, -1) for n in self.names]
-            ids.append(i)
-        out = self.by_word[w] = np.array(ids, np.int32)
-        return out
+
+    def _tell(self) -> None:
+        fresh = list(islice(self.numbers.ids, self.told, None))
+        while len(self.tie) < self.told + len(fresh):
+            self.tie, self.places = np.concatenate([self.tie, self.tie]), np.concatenate([self.places, self.places])
+        for i, g in enumerate(fresh, self.told):
+            self.tie[i] = zlib.crc32(g.encode())
+            self.places[i] = [self.profile[n].get(g, -1) for n in self.names]
+        self.told += len(fresh)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """A language and 1 - its distance over the largest possible; 'und' and 0 without letters or languages. Ties of counts go by crc32 of the n-gram, of languages by code point."""
-        counts = words(text)
-        if not counts or not self.names:
+        if not text or not self.names:
             return "und", 0.0
-        if len(self.by_word) > WORDS or len(self.ids) > 4 * WORDS:
+        if len(self.numbers.ids) > KEPT:
             self.clear()
-        kept = self.by_word
-        parts = [kept[w] if w in kept else self._word(w) for w in counts]
-        ids = np.concatenate(parts)
+        ids = self.numbers(text)
         if not len(ids):
             return "und", 0.0
-        tie, places = self.tie, self.places
-        weights = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) for p in parts])
-        total = np.bincount(ids, weights=weights)
+        if len(self.numbers.ids) > self.told:
+            self._tell()
+        total = np.bincount(ids)
         there = np.nonzero(total)[0]
-        key = (total[there].astype(np.int64) << 32) | (0xFFFFFFFF - tie[there])
+        key = (total[there] << 32) | (0xFFFFFFFF - self.tie[there])
         if len(key) > self.own:
             top = np.argpartition(-key, self.own - 1)[: self.own]
             there, key = there[top], key[top]
         there = there[np.argsort(-key, kind="stable")]
-        at = places[there]
+        at = self.places[there]
         out = np.where(at >= 0, np.abs(at - np.arange(len(there))[:, None]), self.far).sum(axis=0)
         best = int(np.argmin(out))
         return self.names[best], float(1 - out[best] / (self.far * len(there)))
