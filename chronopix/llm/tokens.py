@@ -1,7 +1,7 @@
 """Token counts without token ids.
 
 Byte-level BPE never merges across pre-tokens, so the number of pieces of a text is a sum over its pre-tokens.
-Each Arrow batch is turned into per-document pre-token frequencies; the batch's distinct pre-tokens that the task
+Documents, some hundreds at a time, are turned into per-document pre-token frequencies; their distinct pre-tokens that the task
 has not met yet are given to the tokenizer once each, in one call; the frequencies are joined to those piece counts
 and summed. Frequencies and counts stay where the texts are: no row is shuffled, no list of ids is kept.
 """
@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame
 from chronopix.llm.common import only
 
 #: Distinct pre-tokens whose piece counts a task keeps; beyond that it starts a new table. Memory only, never results.
-KEPT = 400_000
+KEPT = 250_000
 #: Pre-tokens longer than this many characters are counted but not kept.
 KEPT_CHARS = 64
+#: Documents whose frequencies are in memory at once.
+ROWS = 512
 
 
 def _class(kind: str, top: int) -> str:
@@ -90,12 +92,12 @@ def count_tokens(documents: DataFrame, tokenizer_json: str, limit: int = 512) ->
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True  # special strings are cut out before, so what comes here is ordinary text
         known: dict[str, int] = {}
-        for batch in batches:
+        for block in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
             if len(known) > KEPT:
                 known = {}
             docs, sizes, specials = [], [], []
             fresh: dict[str, int] = {}
-            for text in batch.column(1).to_pylist():
+            for text in block.column(1).to_pylist():
                 text = text or ""
                 sizes.append(len(text.encode()))
                 parts = special.split(text) if special else [text]
@@ -106,15 +108,15 @@ def count_tokens(documents: DataFrame, tokenizer_json: str, limit: int = 512) ->
                 docs.append(frequencies)
                 fresh.update((w, 0) for w in frequencies if w not in known)
             asked = list(fresh)
-            for a in range(0, len(asked), 20_000):
-                block = asked[a : a + 20_000]
-                fresh.update(zip(block, map(len, tokenizer.encode_batch_fast(block, add_special_tokens=False)), strict=True))
+            for a in range(0, len(asked), 5_000):
+                some = asked[a : a + 5_000]
+                fresh.update(zip(some, map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
             counts = []
             for frequencies, n in zip(docs, specials, strict=True):
                 counts.append(n + sum(k * (known[w] if w in known else fresh[w]) for w, k in frequencies.items()))
             known.update((w, n) for w, n in fresh.items() if len(w) <= KEPT_CHARS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
+                [block.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
