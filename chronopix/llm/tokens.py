@@ -1,13 +1,15 @@
 """Token counts without token ids.
 
 Byte-level BPE never merges across pre-tokens, so the number of pieces of a text is a sum over its pre-tokens.
-Documents, some hundreds at a time, are turned into per-document pre-token frequencies; their distinct pre-tokens that the task
-has not met yet are given to the tokenizer once each, in one call; the frequencies are joined to those piece counts
-and summed. Frequencies and counts stay where the texts are: no row is shuffled, no list of ids is kept.
+The corpus's distinct pre-tokens are gathered, each is given to the tokenizer once, and the piece counts are joined to
+the per-document pre-token frequencies and summed there. The counts of frequent pre-tokens, a bounded number, are sent to
+where the texts are, so that their frequencies are summed in place; only the others' frequencies are shuffled to their counts,
+as rows of document, pre-token (a digest, if it is long) and frequency. No list of ids is ever made.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -15,14 +17,18 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from chronopix.llm.common import only
+from chronopix.llm.common import frequent, only, written
 
-#: Distinct pre-tokens whose piece counts a task keeps; beyond that it starts a new table. Memory only, never results.
-KEPT = 250_000
-#: Pre-tokens longer than this many characters are counted but not kept.
-KEPT_CHARS = 64
+#: Most frequent pre-tokens whose piece counts are sent to the executors; the rest are joined.
+HEAD = 200_000
+#: Pre-tokens longer than this many characters go by their digest when they are joined.
+KEY_CHARS = 64
+#: Distinct pre-tokens, and their characters, that a task gathers before it hands them on; memory only.
+KEPT, KEPT_CHARS = 250_000, 16_000_000
 #: Documents whose frequencies are in memory at once.
 ROWS = 512
 
@@ -75,49 +81,99 @@ def splitter(tokenizer_json: str):
     return split, re.compile("|".join(map(re.escape, special))) if special else None
 
 
+def _key(pre_token: str) -> str:
+    """What a pre-token is joined by. No short one is a newline and a digest: white space and letters are never in one pre-token."""
+    return pre_token if len(pre_token) <= KEY_CHARS else "\n" + hashlib.sha256(pre_token.encode()).hexdigest()
+
+
+def _types(documents: DataFrame, tokenizer_json: str) -> DataFrame:
+    """piece (a distinct pre-token of all texts), n (its occurrences)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, special = splitter(tokenizer_json)
+        met: Counter[str] = Counter()
+        chars = 0
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(met), pa.string()), pa.array(list(met.values()), pa.int64())], names=["piece", "n"])
+
+        for b in batches:
+            for text in b.column(0):
+                text = text.as_py() or ""
+                for part in special.split(text) if special else [text]:
+                    met.update(split(part))
+                chars += len(text)
+                if len(met) > KEPT or chars > KEPT_CHARS and (chars := sum(map(len, met))) > KEPT_CHARS:
+                    yield out()
+                    met.clear()
+                    chars = 0
+        yield out()
+
+    return documents.select("text").mapInArrow(run, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def _counted(types: DataFrame, tokenizer_json: str) -> DataFrame:
+    """key, n, pieces: every distinct pre-token is tokenized here, once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(tokenizer_json)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True  # special strings were cut out before, so what comes here is ordinary text
+        for b in (b.slice(a, 5_000) for b in batches for a in range(0, b.num_rows, 5_000)):
+            asked = b.column(0).to_pylist()
+            counts = [len(e) for e in tokenizer.encode_batch_fast(asked, add_special_tokens=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_key, asked), pa.string()), b.column(1), pa.array(counts, pa.int64())], names=["key", "n", "pieces"])
+
+    return types.mapInArrow(run, "key string, n bigint, pieces bigint")
+
+
 def count_tokens(documents: DataFrame, tokenizer_json: str, limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row.
 
     Counts are those of the tokenizers library for the file, without begin, end or added special tokens; special
     strings inside a text count one each, as by its default. Null and empty texts have 0 bytes and 0 tokens. Repeated
     rows give repeated results; an empty table gives an empty one; columns other than doc_id and text are not read.
+    Rows are numbered by partition and place for the sum, so documents should be a table or another plan that repeats itself.
     """
+    d = only(documents, doc_id="bigint", text="string")
+    counted = written(_counted(_types(d, tokenizer_json), tokenizer_json), "pieces")
+    top = frequent(counted, "n", HEAD).select("key", "pieces").toArrow()
+    head = dict(zip(top["key"].to_pylist(), top["pieces"].to_pylist(), strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
         split, special = splitter(tokenizer_json)
-        tokenizer = Tokenizer.from_file(tokenizer_json)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        tokenizer.encode_special_tokens = True  # special strings are cut out before, so what comes here is ordinary text
-        known: dict[str, int] = {}
+        row = (TaskContext.get().partitionId() << 40) - 1
         for block in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
-            if len(known) > KEPT:
-                known = {}
-            docs, sizes, specials = [], [], []
-            fresh: dict[str, int] = {}
-            for text in block.column(1).to_pylist():
-                text = text or ""
-                sizes.append(len(text.encode()))
+            rows, ids, sizes, sums, keys, times = [], [], [], [], [], []
+            for doc_id, text in zip(block.column(0).to_pylist(), block.column(1), strict=True):
+                row += 1
+                text = text.as_py() or ""
                 parts = special.split(text) if special else [text]
-                specials.append(len(parts) - 1)
                 frequencies = Counter(split(parts[0]))
                 for p in parts[1:]:
                     frequencies.update(split(p))
-                docs.append(frequencies)
-                fresh.update((w, 0) for w in frequencies if w not in known)
-            asked = list(fresh)
-            for a in range(0, len(asked), 5_000):
-                some = asked[a : a + 5_000]
-                fresh.update(zip(some, map(len, tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-            counts = []
-            for frequencies, n in zip(docs, specials, strict=True):
-                counts.append(n + sum(k * (known[w] if w in known else fresh[w]) for w, k in frequencies.items()))
-            known.update((w, n) for w, n in fresh.items() if len(w) <= KEPT_CHARS)
+                own, tail = len(parts) - 1, []
+                for w, k in frequencies.items():
+                    pieces = head.get(w if len(w) <= KEY_CHARS else _key(w))
+                    if pieces is None:
+                        tail.append(w)
+                    else:
+                        own += k * pieces
+                none = [None] * len(tail)
+                rows += [row] * (1 + len(tail))
+                ids += [doc_id, *none]
+                sizes += [len(text.encode()), *none]
+                sums += [own, *none]
+                keys += [f"\n{row}", *map(_key, tail)]  # no pre-token: spreads the rows of documents over the join's partitions
+                times += [0, *[frequencies[w] for w in tail]]
             yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+                [*(pa.array(x, pa.int64()) for x in (rows, ids, sizes, sums)), pa.array(keys, pa.string()), pa.array(times, pa.int64())], names=["row", "doc_id", "n_bytes", "own", "key", "k"]
             )
 
-    return only(documents, doc_id="bigint", text="string").mapInArrow(run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    frequencies = d.mapInArrow(run, "row bigint, doc_id bigint, n_bytes bigint, own bigint, key string, k bigint")
+    n_tokens = F.sum(F.coalesce("own", F.lit(0)) + F.col("k") * F.coalesce("pieces", F.lit(0)))
+    summed = frequencies.join(counted.select("key", "pieces"), "key", "left").groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), n_tokens.alias("n_tokens"))
+    return summed.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

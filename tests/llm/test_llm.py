@@ -151,9 +151,12 @@ def test_one_document_of_each_group_stays(spark, texts):
 
 
 # Tokens
-def test_token_counts_are_the_library_s(spark, texts):
+@pytest.mark.parametrize("head", [0, 40, tokens.HEAD])
+def test_token_counts_are_the_library_s(spark, texts, monkeypatch, head):
+    """Whether the counts come from the join alone, from both, or from the frequent pre-tokens alone."""
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(tokens, "HEAD", head)
     path = queries._vocabulary("byte_bpe_50k.json")
     lib = Tokenizer.from_file(path)
     more = ["it's we'll I'M 'S", "a b  c  d", "<|endoftext|>", " <|endoftext|><|endoftext|> x", "tab\t\tand\r\n\r\n end  ", "٣٤ ½ ²x", "é नमस्ते ไทย 🙂🙂", "\x85\x1c\x1d a", "ſK"]
@@ -163,6 +166,15 @@ def test_token_counts_are_the_library_s(spark, texts):
     assert tokens.count_tokens(docs(spark, []), path).count() == 0
 
 
+def test_frequent_rows(spark):
+    from chronopix.llm.common import frequent
+
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([1, 1, 1, 1, 2, 2, 3, 9, 100, 0, None])], "i int, n bigint")
+    got = lambda limit: sorted(r["n"] for r in frequent(df, "n", limit).collect())
+    assert got(0) == [] and got(1) == [100] and got(4) == [3, 9, 100] and got(5) == got(8) == [2, 2, 3, 9, 100] and got(9) == [1, 1, 1, 1, 2, 2, 3, 9, 100]
+    assert frequent(df.limit(0), "n", 5).count() == 0
+
+
 # Mixing
 def test_mix_with_edges_matches_plain_running_sums(spark, texts, con, monkeypatch):
     monkeypatch.setattr(mixing, "GROUP", 20)  # so that there are several prefixes
