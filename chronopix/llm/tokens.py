@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,7 +30,7 @@ HEAD = 200_000
 #: Pre-tokens longer than this many characters go by their digest when they are joined.
 KEY_CHARS = 64
 #: Distinct pre-tokens, and their characters, that a task gathers before it hands them on; memory only.
-KEPT, KEPT_CHARS = 250_000, 16_000_000
+KEPT, KEPT_CHARS = 100_000, 8_000_000
 #: Documents whose frequencies are in memory at once.
 ROWS = 512
 
@@ -50,15 +52,8 @@ def _class(kind: str, top: int) -> str:
 SETTLED = 0x0530
 
 
-def splitter(tokenizer_json: str):
-    """A function from a text without special strings to its pre-tokens, and the pattern of the special strings or None.
-
-    The file is checked to be of the kind whose counts add up over pre-tokens. Texts of settled characters are split by
-    the published pattern; which rarer characters are letters depends on the library's version of Unicode, so other texts
-    are split by the library itself.
-    """
-    from tokenizers import Tokenizer
-
+def special_strings(tokenizer_json: str) -> list[str]:
+    """The file's special strings, longest first; an error unless the file is of the kind whose counts add up over pre-tokens."""
     with open(tokenizer_json, encoding="utf-8") as f:
         spec = json.load(f)
     pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
@@ -66,19 +61,48 @@ def splitter(tokenizer_json: str):
         raise ValueError("token counts by pre-token need a byte-level BPE file without normalizer, prefix space, truncation and padding")
     if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", [])):
         raise ValueError("added tokens that look at their neighbours are not supported")
+    return sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
+
+
+@cache
+def splitter():
+    """A function from a text without special strings to its pre-tokens.
+
+    Texts of settled characters are split by the published pattern; which rarer characters are letters depends on the
+    library's version of Unicode, so other texts are split by the library itself.
+    """
+    from tokenizers.pre_tokenizers import ByteLevel
+
     # The published pattern of byte-level BPE; a letter run cannot begin with an apostrophe, so it may be tried first.
     letters, numbers, space = _class("L", SETTLED), _class("N", SETTLED), r"\t-\r\x20\x85\xa0"
     words = re.compile(f" ?[{letters}]+|'(?:[stmd]|re|ve|ll)| ?[{numbers}]+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+")
     rare = re.compile(f"[^\\x00-{chr(SETTLED - 1)}]")
-    library = Tokenizer.from_file(tokenizer_json).pre_tokenizer
+    library = ByteLevel(add_prefix_space=False)
 
     def split(text: str) -> list[str]:
         if rare.search(text) is None:
             return words.findall(text)
         return [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
 
-    special = sorted((t["content"] for t in spec.get("added_tokens", [])), key=len, reverse=True)
-    return split, re.compile("|".join(map(re.escape, special))) if special else None
+    return split
+
+
+@cache
+def _tokenizer(tokenizer_json: str):
+    """The library's tokenizer, once per process, without threads of its own: a task has one core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_json)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    tokenizer.encode_special_tokens = True  # special strings were cut out before, so what comes here is ordinary text
+    return tokenizer
+
+
+def _cutter(special: list[str]):
+    """A function from a text to what lies between its special strings."""
+    return re.compile("|".join(map(re.escape, special))).split if special else lambda text: [text]
 
 
 def _key(pre_token: str) -> str:
@@ -86,11 +110,11 @@ def _key(pre_token: str) -> str:
     return pre_token if len(pre_token) <= KEY_CHARS else "\n" + hashlib.sha256(pre_token.encode()).hexdigest()
 
 
-def _types(documents: DataFrame, tokenizer_json: str) -> DataFrame:
+def _types(documents: DataFrame, special: list[str]) -> DataFrame:
     """piece (a distinct pre-token of all texts), n (its occurrences)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, special = splitter(tokenizer_json)
+        split, cut = splitter(), _cutter(special)
         met: Counter[str] = Counter()
         chars = 0
 
@@ -100,7 +124,7 @@ def _types(documents: DataFrame, tokenizer_json: str) -> DataFrame:
         for b in batches:
             for text in b.column(0):
                 text = text.as_py() or ""
-                for part in special.split(text) if special else [text]:
+                for part in cut(text):
                     met.update(split(part))
                 chars += len(text)
                 if len(met) > KEPT or chars > KEPT_CHARS and (chars := sum(map(len, met))) > KEPT_CHARS:
@@ -116,12 +140,7 @@ def _counted(types: DataFrame, tokenizer_json: str) -> DataFrame:
     """key, n, pieces: every distinct pre-token is tokenized here, once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_json)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        tokenizer.encode_special_tokens = True  # special strings were cut out before, so what comes here is ordinary text
+        tokenizer = _tokenizer(tokenizer_json)
         for b in (b.slice(a, 5_000) for b in batches for a in range(0, b.num_rows, 5_000)):
             asked = b.column(0).to_pylist()
             counts = [len(e) for e in tokenizer.encode_batch_fast(asked, add_special_tokens=False)]
@@ -139,19 +158,20 @@ def count_tokens(documents: DataFrame, tokenizer_json: str, limit: int = 512) ->
     Rows are numbered by partition and place for the sum, so documents should be a table or another plan that repeats itself.
     """
     d = only(documents, doc_id="bigint", text="string")
-    counted = written(_counted(_types(d, tokenizer_json), tokenizer_json), "pieces")
+    special = special_strings(tokenizer_json)
+    counted = written(_counted(_types(d, special), tokenizer_json), "pieces")
     top = frequent(counted, "n", HEAD).select("key", "pieces").toArrow()
     head = dict(zip(top["key"].to_pylist(), top["pieces"].to_pylist(), strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, special = splitter(tokenizer_json)
+        split, cut = splitter(), _cutter(special)
         row = (TaskContext.get().partitionId() << 40) - 1
         for block in (b.slice(a, ROWS) for b in batches for a in range(0, b.num_rows, ROWS)):
             rows, ids, sizes, sums, keys, times = [], [], [], [], [], []
             for doc_id, text in zip(block.column(0).to_pylist(), block.column(1), strict=True):
                 row += 1
                 text = text.as_py() or ""
-                parts = special.split(text) if special else [text]
+                parts = cut(text)
                 frequencies = Counter(split(parts[0]))
                 for p in parts[1:]:
                     frequencies.update(split(p))
