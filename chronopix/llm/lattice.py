@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import bucket, forget, only, texts, written
+from chronopix.llm.common import bucket, forget, frequent, only, texts, written
 
 #: Most frequent words whose scores are sent to the executors, each of HEAD_BYTES at most; the rest are joined.
 HEAD, HEAD_BYTES = 200_000, 64
@@ -214,7 +214,7 @@ def score(documents: DataFrame, tokenizer_file: str, held_out) -> DataFrame:
 
     valued = written(types.mapInArrow(value, "word string, n bigint, c bigint, lp double"), "scores")
     forget(types)
-    top = valued.where(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD).select("word", "c", "lp").toArrow()
+    top = frequent(valued.where(F.octet_length("word") <= HEAD_BYTES), "n", HEAD).select("word", "c", "lp").toArrow()
     base, ten = scores.base, math.log10
     head = dict(zip(top["word"].cast(pa.binary()).to_pylist(), zip(top["c"].to_pylist(), top["lp"].to_pylist(), strict=True), strict=True))
     head = {w: (c > 0, ten((c + 0.5) / base), lp) for w, (c, lp) in head.items()}
