@@ -119,6 +119,23 @@ def test_geometric_median_properties(spark):
     assert got[1]["a"] is None and got[2]["a"] is None and (got[3]["a"], got[3]["b"]) == (1.0, 5.0)
 
 
+def test_weiszfeld_is_least():
+    rng = np.random.default_rng(5)
+    for n, time, bands in ((400, 4, 2), (400, 5, 3), (40, 30, 6)):
+        x, valid = rng.integers(0, 50, (n, time, bands)).astype(float), rng.random((n, time)) < 0.9
+        m, some = weiszfeld(x, valid, 1e-9), valid.any(axis=1)
+
+        def away(c, x=x, valid=valid, some=some):
+            return np.where(valid, np.sqrt(((x - c[:, None]) ** 2).sum(axis=2)), 0).sum(axis=1)[some]
+
+        least = away(m)
+        for i in range(time):
+            at = np.where(valid[:, i, None], x[:, i], m)
+            assert (least <= away(at) + 1e-9).all()
+        for scale in (1e-3, 1e-1, 10):
+            assert (least <= away(m + rng.normal(0, scale, m.shape)) + 1e-9).all()
+
+
 def test_spectral_mad(spark):
     got = one(spark, {0: [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], 1: [(None, None)], 2: [(1.0, 0.0), (0.0, 1.0), (1.0, 1.0)]}, SpectralMAD(1e-10))
     assert got[0]["smad"] == pytest.approx(0, abs=1e-9) and got[1]["smad"] is None and got[2]["smad"] > 0
