@@ -31,6 +31,8 @@ from chronopix.llm.common import bucket, forget, frequent, only, texts, written
 HEAD, HEAD_BYTES = 200_000, 64
 #: Distinct words a task counts at once; memory only.
 KEPT = 300_000
+#: Words of one length go through the recursion together: marked words of at most LONG characters, CELLS characters at a time; fewer than FEW, and longer ones, go one by one.
+LONG, CELLS, FEW = 64, 400_000, 16
 #: Added to every piece's expected count.
 FLOOR = 0.1
 MARK = "▁"
@@ -47,6 +49,104 @@ class Lattice:
         self.score = {n: s for n, s in zip(names, logs, strict=True) if n not in special}
         self.longest = max(map(len, self.score), default=1)
         self.byte = [logs[self.index[b]] for b in byte_names]
+        self._trie()
+
+    def _trie(self) -> None:
+        """The pieces as a trie: sorted (node, character) pairs, the nodes they lead to, and the piece that ends at a node."""
+        step: dict[int, int] = {}
+        ends = [-1]
+        for n in self.score:
+            node = 0
+            for ch in n:
+                node = step.setdefault(node << 21 | ord(ch), len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = self.index[n]
+        pairs = sorted(step)
+        self.pairs, self.leads = np.array([*pairs, np.iinfo(np.int64).max], np.int64), np.array([*(step[k] for k in pairs), 0], np.int64)
+        self.ends, self.piece_logs = np.array(ends, np.int64), np.array(self.logs)
+
+    def _together(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Places of words that go through the recursion together, with their characters as a matrix; None for one that goes alone."""
+        by_length: dict[int, list[int]] = {}
+        for at, w in enumerate(words):
+            by_length.setdefault(len(w) + 1, []).append(at)
+        for length, places in by_length.items():
+            size = CELLS // length if length <= LONG else 1
+            for k in range(0, len(places), max(1, size)):
+                some = places[k : k + max(1, size)]
+                if length > LONG or len(some) < FEW:
+                    yield from ((np.array([at]), None) for at in some)
+                else:
+                    text = "".join([MARK + words[at] for at in some])
+                    yield np.array(some), np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64).reshape(len(some), length)
+
+    def _arcs(self, codes: np.ndarray, i: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """The arcs from character i of every row: their end, rows, log scores and pieces (-1 - character where it is a character by its bytes)."""
+        rows = np.arange(len(codes))
+        node = np.zeros(len(codes), np.int64)
+        for j in range(i + 1, codes.shape[1] + 1):
+            pair = node << 21 | codes[rows, j - 1]
+            at = np.searchsorted(self.pairs, pair)
+            there = self.pairs[at] == pair
+            if j == i + 1:
+                spelled = np.ones(len(codes), bool)
+                spelled[there] = self.ends[self.leads[at[there]]] < 0
+                if spelled.any():
+                    chars, which = np.unique(codes[spelled, i], return_inverse=True)
+                    logs = np.array([sum(self.byte[b] for b in chr(c).encode()) for c in chars.tolist()])
+                    yield j, np.nonzero(spelled)[0], logs[which], -1 - chars[which]
+            rows, node = rows[there], self.leads[at[there]]
+            if not len(rows):
+                return
+            piece = self.ends[node]
+            if (ends := piece >= 0).any():
+                yield j, rows[ends], self.piece_logs[piece[ends]], piece[ends]
+
+    def forwards(self, words: list[str]) -> np.ndarray:
+        """forward(word) of every word."""
+        out = np.empty(len(words))
+        for places, codes in self._together(words):
+            if codes is None:
+                out[places] = self.forward(words[places[0]])
+                continue
+            alpha = np.full((codes.shape[1] + 1, len(codes)), -np.inf)
+            alpha[0] = 0.0
+            for i in range(codes.shape[1]):
+                for j, rows, logs, _ in self._arcs(codes, i):
+                    alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + logs)
+            out[places] = alpha[-1]
+        return out
+
+    def expectations(self, words: list[str], weight: float, into: np.ndarray) -> None:
+        """expected(word, weight, into) of every word."""
+        alone: dict[int, float] = {}
+        for places, codes in self._together(words):
+            if codes is None:
+                self.expected(words[places[0]], weight, alone)
+                continue
+            length = codes.shape[1]
+            alpha, beta = np.full((2, length + 1, len(codes)), -np.inf)
+            alpha[0] = beta[length] = 0.0
+            arcs = []
+            for i in range(length):
+                arcs.append(list(self._arcs(codes, i)))
+                for j, rows, logs, _ in arcs[i]:
+                    alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + logs)
+            for i in range(length - 1, -1, -1):
+                for j, rows, logs, pieces in arcs[i]:
+                    rest = logs + beta[j, rows]
+                    beta[i, rows] = np.logaddexp(beta[i, rows], rest)
+                    e = weight * np.exp(alpha[i, rows] + rest - alpha[length, rows])
+                    if pieces[0] >= 0:
+                        into += np.bincount(pieces, e, len(into))
+                    else:
+                        chars, which = np.unique(-1 - pieces, return_inverse=True)
+                        for c, x in zip(chars.tolist(), np.bincount(which, e).tolist(), strict=True):
+                            for b in chr(c).encode():
+                                into[self.index[self.bytes[b]]] += x
+        for k, e in alone.items():
+            into[k] += e
 
     @classmethod
     def from_file(cls, path: str) -> Lattice:
@@ -170,6 +270,12 @@ class Scores:
             p = m + math.log(math.exp(p - m) + math.exp(whole - m))
         return p / math.log(10)
 
+    def words(self, words: list[str], c: np.ndarray) -> np.ndarray:
+        """word(word, c) of every word."""
+        p = self.spelled + self.lattice.forwards(words)
+        whole = np.log(np.maximum(c - self.discount, 0), out=np.full(len(words), -np.inf), where=c > self.discount) - math.log(self.z)
+        return np.logaddexp(p, whole) / math.log(10)
+
 
 def fit(types: DataFrame, train_docs: int, start: Lattice) -> tuple[Scores, dict]:
     """Scores from the distinct words of the training texts, and the counts that the base model needs."""
@@ -178,11 +284,11 @@ def fit(types: DataFrame, train_docs: int, start: Lattice) -> tuple[Scores, dict
     discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        into: dict[int, float] = {}
+        into = np.zeros(len(start.names))
         for b in batches:
-            for w in b.column(0).to_pylist():
-                start.expected(w, discount, into)
-        yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.int32()), pa.array(list(into.values()), pa.float64())], names=["piece", "e"])
+            start.expectations(b.column(0).to_pylist(), discount, into)
+        met = np.nonzero(into)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(into[met])], names=["piece", "e"])
 
     counts = np.full(len(start.names), FLOOR)
     for r in types.where("c > 0").select("word").mapInArrow(expect, "piece int, e double").groupBy("piece").agg(F.sum("e").alias("e")).collect():
@@ -209,7 +315,7 @@ def score(documents: DataFrame, tokenizer_file: str, held_out) -> DataFrame:
 
     def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lp = [scores.word(w, c) for w, c in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            lp = scores.words(b.column(0).to_pylist(), b.column(2).to_numpy())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(lp, pa.float64())], names=["word", "n", "c", "lp"])
 
     valued = written(types.mapInArrow(value, "word string, n bigint, c bigint, lp double"), "scores")

@@ -194,6 +194,27 @@ def test_mix_with_edges_matches_plain_running_sums(spark, texts, con, monkeypatc
 
 
 # Lattice
+def test_lattice_together_as_alone(monkeypatch):
+    byte_names = [f"<0x{b:02X}>" for b in range(256)]
+    pieces = {"▁": -2.0, "▁a": -3.0, "a": -2.5, "b": -2.0, "ab": -3.0, "ba": -3.5, "▁ab": -4.0, "aba": -5.0, "日本": -6.0}
+    lat = lattice.Lattice([*pieces, *byte_names], [*pieces.values(), *[-6.0] * 256], byte_names)
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abé日本\U0001f600"), rng.integers(1, 9))) for _ in range(500)] + ["a" * 70, "é" * 65, "日" * 30]
+    for few, cells in ((1, 400_000), (16, 40), (1, 40)):
+        monkeypatch.setattr(lattice, "FEW", few)
+        monkeypatch.setattr(lattice, "CELLS", cells)
+        assert np.allclose(lat.forwards(words), [lat.forward(w) for w in words], rtol=1e-12)
+        one: dict[int, float] = {}
+        every = np.zeros(len(lat.names))
+        for w in words:
+            lat.expected(w, 0.5, one)
+        lat.expectations(words, 0.5, every)
+        assert np.allclose(every, [one.get(k, 0.0) for k in range(len(every))], rtol=1e-9, atol=1e-12)
+    model, c = lattice.Scores(lat, -2.0, 1000.0, 0.6, 1000.0), np.arange(len(words)) % 3
+    assert np.allclose(model.words(words, c), [model.word(w, int(k)) for w, k in zip(words, c, strict=True)], rtol=1e-12)
+    assert len(lat.forwards([])) == 0
+
+
 def test_forward_sums_all_segmentations():
     byte_names = [f"<0x{b:02X}>" for b in range(256)]
     pieces = {"▁": -3.0, "▁a": -1.0, "a": -1.5, "b": -2.0, "ab": -1.2, "ba": -2.2, "▁ab": -2.1}
