@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon words and word-beginning patterns, chosen to cover the labelled toxic documents several times over. A
-generative label model estimates how often each voter fires on toxic and on other documents, and how far voters fire together given the
+Voters are lexicon words and word-beginning patterns, met once or repeatedly in a text: a beginning that clean texts have
+now and then marks a toxic one by how often it comes. They are chosen to cover the labelled toxic documents several times
+over, and then all others of high lift. A generative label model estimates how often each voter fires on toxic and on other documents, and how far voters fire together given the
 class, by expectation maximisation over the sample, with the labels as one more voter; a voter that repeats what others say
 weighs less. Its posterior labels train a linear classifier over the voters' words and patterns and how many of them fire.
 """
@@ -25,7 +26,9 @@ from chronopix.llm.quality import _sigmoid, sample
 SAMPLE = 24_000
 #: Letters of a word-beginning pattern.
 BEGINNINGS = (4, 5, 6)
-#: Documents that a voter must fire on; times that voters should cover a toxic document; voters at most.
+#: Times that a word or beginning is met in a text, at least, each a feature of its own.
+REPEATS = (1, 2, 4)
+#: Documents that a voter must fire on; times that the first voters should cover a toxic document; voters at most.
 SUPPORT, COVER, VOTERS = 5, 3, 400
 #: A voter's least rate on toxic documents over its rate on others.
 LIFT = 20.0
@@ -35,8 +38,8 @@ THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def words(text: str | None) -> set[str]:
-    return set(_WORD.findall(text.lower())) if text else set()
+def words(text: str | None) -> Counter[str]:
+    return Counter(_WORD.findall(text.lower())) if text else Counter()
 
 
 def patterns(word: str) -> list[str]:
@@ -44,6 +47,15 @@ def patterns(word: str) -> list[str]:
     return [word, *[word[:n] + "*" for n in BEGINNINGS if len(word) > n]]
 
 
+def features(text: str | None) -> set[str]:
+    """The patterns of a text's words, and each with a number after it where the text has it so many times: no word has a digit."""
+    n: Counter[str] = Counter()
+    for w, k in words(text).items():
+        for p in patterns(w):
+            n[p] += k
+    return {p if r == 1 else f"{p}{r}" for p, k in n.items() for r in REPEATS if k >= r}
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """feature, toxic, other: distinct texts of each class that have the feature, of those with any toxic one."""
 
@@ -57,7 +69,7 @@ def _counts(rows: DataFrame) -> DataFrame:
 
         for b in batches:
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                (yes if label else no).update({p for w in words(text) for p in patterns(w)})
+                (yes if label else no).update(features(text))
             if len(yes) + len(no) > 400_000:
                 yield out()
                 yes.clear()
@@ -68,13 +80,13 @@ def _counts(rows: DataFrame) -> DataFrame:
     return seen.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def _fires(rows: DataFrame, features: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+def _fires(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Labels, and which features each row has, in order of the rows' ids."""
-    known = {f: i for i, f in enumerate(features)}
+    known = {f: i for i, f in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hits = [sorted({known[p] for w in words(t) for p in patterns(w) if p in known}) for t in b.column(1).to_pylist()]
+            hits = [sorted(known[p] for p in features(t) if p in known) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hits, pa.list_(pa.int32()))], names=["doc_id", "label", "hits"])
 
     got = rows.mapInArrow(run, "doc_id bigint, label int, hits array<int>").toArrow()
@@ -83,31 +95,43 @@ def _fires(rows: DataFrame, features: list[str]) -> tuple[np.ndarray, list[np.nd
     return got["label"].to_numpy()[by], [np.array(hits[i], np.int64) for i in by]
 
 
-def choose(features: list[str], lift: np.ndarray, hits: list[np.ndarray], labels: np.ndarray) -> list[str]:
-    """Voters, greedily: the feature that covers most toxic documents still covered under COVER times, while it covers SUPPORT of them; ties to the larger lift, then to the longer feature, then by code point."""
-    has: list[list[int]] = [[] for _ in features]
+def choose(names: list[str], lift: np.ndarray, hits: list[np.ndarray], labels: np.ndarray, least: int = SUPPORT) -> list[str]:
+    """Voters, greedily: the feature that covers most toxic documents still covered under COVER times, while it covers ``least`` of them; then the others that fire on most toxic documents.
+
+    Ties to the larger lift, then to the longer feature, then by code point. Of features that fire on the same documents one is taken.
+    """
+    has: list[list[int]] = [[] for _ in names]
     for d, h in enumerate(hits):
-        if labels[d]:
-            for f in h.tolist():
-                has[f].append(d)
+        for f in h.tolist():
+            has[f].append(d)
     wanted = np.where(labels > 0, COVER, 0)
-    where = [np.array(x, np.int64) for x in has]
+    same = [np.array(x, np.int64).tobytes() for x in has]
+    where = [(d := np.array(x, np.int64))[labels[d] > 0] for x in has]
     gain = np.array([len(x) for x in where], float)
-    order, chosen = sorted(range(len(features)), key=lambda f: (-lift[f], -len(features[f]), features[f])), []
-    place = np.empty(len(features))
-    place[order] = np.arange(len(features))
+    order, chosen, met = sorted(range(len(names)), key=lambda f: (-lift[f], -len(names[f]), names[f])), [], set()
+    place = np.empty(len(names))
+    place[order] = np.arange(len(names))
     while len(chosen) < VOTERS and len(gain):
         f = int(np.lexsort((place, -gain))[0])
+        if gain[f] < 0:
+            break
         now = float((wanted[where[f]] > 0).sum())  # gains only fall, so a gain that still holds is the largest
         if now < gain[f]:
             gain[f] = now
             continue
-        if now < SUPPORT:
+        if now < least:
             break
-        chosen.append(f)
         gain[f] = -1
+        if same[f] in met:
+            continue
+        met.add(same[f])
+        chosen.append(f)
         wanted[where[f]] -= wanted[where[f]] > 0
-    return [features[f] for f in chosen]
+    for f in sorted(range(len(names)), key=lambda f: (-len(where[f]), place[f])):
+        if len(chosen) < VOTERS and len(where[f]) >= least and same[f] not in met:
+            met.add(same[f])
+            chosen.append(f)
+    return [names[f] for f in chosen]
 
 
 class LabelModel:
@@ -144,20 +168,22 @@ class LabelModel:
 class Classifier:
     def __init__(self, voters: list[str], weights: np.ndarray, bias: float):
         self.known, self.weights, self.bias = {v: i for i, v in enumerate(voters)}, weights, bias
+        self.bases = {p: n for n, p in enumerate(dict.fromkeys(v.rstrip("0123456789") for v in voters))}
+        self.levels = [[(r, self.known[v]) for r in REPEATS if (v := p if r == 1 else f"{p}{r}") in self.known] for p in self.bases]
         self.met: dict[str, tuple[int, ...]] = {}
 
     def hits(self, text: str | None) -> set[int]:
-        """The voters that fire; what fires for a word is kept, for a bounded number of words."""
-        met, known, out = self.met, self.known, set()
+        """The voters that fire; the patterns of a word are kept, for a bounded number of words."""
+        met, bases, n = self.met, self.bases, Counter()
         if len(met) > 300_000:
             met.clear()
-        for w in words(text):
-            fire = met.get(w)
-            if fire is None:
-                fire = met[w] = tuple(known[p] for p in patterns(w) if p in known)
-            if fire:
-                out.update(fire)
-        return out
+        for w, k in words(text).items():
+            mine = met.get(w)
+            if mine is None:
+                mine = met[w] = tuple(bases[p] for p in patterns(w) if p in bases)
+            for p in mine:
+                n[p] += k
+        return {i for p, k in n.items() for r, i in self.levels[p] if k >= r}
 
     def score(self, text: str | None) -> float:
         """Every text of one set of firing voters scores the same; a text without words has the score of a text on which none fires."""
@@ -201,11 +227,11 @@ def train(documents: DataFrame, labels: DataFrame, skip) -> Classifier:
     rate = (F.col("toxic") / F.lit(float(toxic + 1))) / ((F.col("other") + F.lit(0.5)) / F.lit(float(other + 1)))
     least = max(2, min(SUPPORT, toxic // 10))
     top = _counts(rows).where(F.col("toxic") >= least).withColumn("lift", rate).where(F.col("lift") >= min(LIFT, (other + 1) / 2)).orderBy(F.desc("toxic"), F.desc("lift"), "feature").limit(20_000).collect()
-    features, lift = [r["feature"] for r in top], np.array([r["lift"] for r in top])
-    y, hits = _fires(rows, features)
-    voters = choose(features, lift, hits, y)
-    place = {f: voters.index(f) for f in voters}
-    to = np.array([place.get(f, -1) for f in features], np.int64)
+    names, lift = [r["feature"] for r in top], np.array([r["lift"] for r in top])
+    y, hits = _fires(rows, names)
+    voters = choose(names, lift, hits, y, least)
+    place = {f: i for i, f in enumerate(voters)}
+    to = np.array([place.get(f, -1) for f in names], np.int64)
     votes = np.zeros((len(y), len(voters)))
     for d, h in enumerate(hits):
         h = to[h]

@@ -273,6 +273,23 @@ def test_classifier_edges(spark, report):
     assert len(report(docs(spark), labels.limit(0)).collect()) == len(EDGE) and report(docs(spark, []), labels).count() == 0
 
 
+def test_toxic_recall_by_language(spark):
+    sf = "/root/testdata/sf0.1"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), _labels(spark, sf)
+    got = queries.op9_weak_toxicity(spark, sf).where("held_out").join(labels.where("toxic = 1"), "doc_id").join(d.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        caught = [r["predicted"] for r in got if r["lang"] == lang]
+        assert len(caught) > 10 and sum(caught) / len(caught) > 0.8, lang
+    model = toxicity.train(d, labels, toxicity.held_out)
+    assert model.hits("moron") and model.score("moron") > model.score("")
+
+
+def test_voters_beyond_the_cover_and_repeats():
+    assert toxicity.features("Abcde abcdx a") == {"abcde", "abcdx", "abcd*", "abcd*2", "a"}
+    hits, y = [np.array([0, 1, 2, 3])] * 6 + [np.array([0, 1, 2, 3, 4])] * 2 + [np.array([1, 4])] * 2, np.array([1] * 8 + [0] * 2)
+    assert toxicity.choose(list("abcde"), np.array([9.0, 5, 9, 9, 3]), hits, y, least=2) == ["a", "b", "e"]  # c and d fire where a does
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 200)
