@@ -325,6 +325,33 @@ def test_licence_variants(spark):
     assert licenses.scan(docs(spark)).count() == len(EDGE) and licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_wrapped_copies_of_every_known_text(spark):
+    import textwrap
+
+    def wrapped(text, width):
+        blocks = [[]]
+        for line in text.split("\n"):
+            alone = not line.strip() or licenses._STATEMENT.match(line.encode())
+            blocks += [[line], []] if alone else []
+            blocks[-1].extend([] if alone else [line])
+        return "Copyright (c) 2020 Someone\nAll rights reserved.\n" + "\n".join(b[0] if b and licenses._STATEMENT.match(b[0].encode()) else textwrap.fill(" ".join(b), width, break_long_words=False, break_on_hyphens=False) for b in blocks)
+
+    least = {}
+    for n, t in sorted(licenses.KNOWN.items(), reverse=True):
+        least[licenses.canonical(t.encode(), licenses._STATEMENT)] = n
+    want = [least[licenses.canonical(t.encode(), licenses._STATEMENT)] for t in licenses.KNOWN.values()]
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Unlicense", "CC0-1.0"} <= set(want)
+    rows, names = [], []
+    for width in (40, 60, 72, 80, 100):
+        for t, n in zip(licenses.KNOWN.values(), want, strict=True):
+            rows.append((len(rows), wrapped(t, width), None, None))
+            names.append(n)
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(docs(spark, rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == names
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"
+    assert licenses.scan(docs(spark, [(1, isc + licenses.KNOWN["ISC-text"].split("\n", 1)[1], None, None)])).first()["license_id"] == "ISC-text"
+
+
 # Decontamination
 def brute_hits(words, items, window):
     hit, found = set(), set()
