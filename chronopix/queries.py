@@ -351,12 +351,16 @@ for _name, _dates in (("epochs_seasonal", _SEASONAL), ("epochs_sliding", _SLIDIN
     add(_name, _job("simple", ["blue"], dates=_dates), _grouped(_MEAN, _dates))
 
 
-def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = Job.from_config(_config("simple", ["blue"], dates={"start_date": "1996-01-01", "end_date": "1996-03-31", "type": "find_daily_data"}, region={"tiles": [[0, 0], [1, 0]]}), X.catalog(spark, sf_dir))
-    return _rounded(job.run(spark)["out"].select("y", "x", "epoch_start", "blue"))
+def _daily(dates: dict, **config) -> Q:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        job = Job.from_config(_config("simple", ["blue"], dates=dates | {"type": "find_daily_data"}, **config), X.catalog(spark, sf_dir))
+        return _rounded(job.run(spark)["out"].select("y", "x", "epoch_start", "blue"))
+
+    return run
 
 
-add("epochs_daily_discovery", _daily, f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs WHERE t BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-03-31' AND x < 20 AND y < 10 GROUP BY ALL")
+add("epochs_daily_discovery", _daily({"start_date": "1996-01-01", "end_date": "1996-03-31"}, region={"tiles": [[0, 0], [1, 0]]}), f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs WHERE t BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-03-31' AND x < 20 AND y < 10 GROUP BY ALL")
+add("epochs_daily_discovery_whole", _daily(WHOLE), f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs GROUP BY ALL")
 add("year_override", lambda s, d: _job("simple", ["blue"], dates={"start_date": dt.datetime(1997, 1, 1), "end_date": dt.datetime(1998, 1, 1), "stats_duration": "1y", "step_size": "1y"})(s, d), _grouped(_MEAN, [Epoch(dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31, 23, 59, 59, 999999))]))
 
 # Calendars
