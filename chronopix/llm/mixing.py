@@ -5,7 +5,8 @@ positive tilt and rises for a negative one and has the mean as its integral. Int
 no target above ``most`` times its source; what is above is shared out again by weight. A source's documents are taken in
 an order by digest, whole passes first, then up to the target, where the last document taken is cut. The words that a
 source has given before a document are that document's cumulative demand; inverting the schedule's integral there
-gives the training position of the document, and positions range-sort the result.
+gives the training position of the document, and positions range-sort the result. A document taken in several
+passes has a position in each.
 """
 
 from __future__ import annotations
@@ -53,11 +54,11 @@ def targets(sizes: DataFrame, share: float, most: float, weights: tuple[float, .
     return s.select("source", "source_size", "tilt", F.when(F.col("free"), shared).otherwise(F.lit(most) * F.col("source_size")).alias("target"))
 
 
-def mix(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position of every row, sorted by position.
+def curriculum(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, position, positions of every row, sorted by position.
 
     size: words of the text, 0 for null and empty ones, which are taken with 0 words. position: of the first word taken,
-    null where none is. A null source is one source, the last. Order within a source: md5 of the id as text, id, size;
+    null where none is. positions: of the first word taken in each pass over the source, empty where none is. A null source is one source, the last. Order within a source: md5 of the id as text, id, size;
     rows equal in these are copies of each other to the mix. Reruns agree. An empty table gives an empty one.
     Work per task is bounded: running sums are within a digest prefix of a source, and a prefix's start is a running sum
     over the prefixes' totals.
@@ -83,10 +84,27 @@ def mix(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     passes = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     rest = F.floor(goal).cast("bigint") - passes * F.col("source_size")
     taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", "tilt", before.alias("before"), taken.cast("bigint").alias("taken"))
-    at = F.round(progress(F.least(F.col("before") / F.when(goal > 0, goal), F.lit(1.0)), F.col("tilt")), 6) + F.lit(0.0)  # never -0
-    rows = rows.withColumn("position", F.when(F.col("taken") > 0, at))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "taken", "position").orderBy(F.col("position").asc_nulls_last(), "doc_id")
+    rows = rows.select("doc_id", "source", "size", "source_size", "target", "tilt", before.alias("before"), taken.cast("bigint").alias("taken"), passes.alias("passes"))
+
+    def at(word: Column) -> Column:
+        return F.round(progress(F.least(word / F.when(goal > 0, goal), F.lit(1.0)), F.col("tilt")), 6) + F.lit(0.0)  # never -0
+
+    begins = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("passes")), lambda k: F.col("before") + k * F.col("source_size"))
+    begins = F.when(F.col("taken") > 0, F.filter(begins, lambda word: word < F.floor(goal))).otherwise(F.array().cast("array<bigint>"))
+    rows = rows.withColumn("position", F.when(F.col("taken") > 0, at(F.col("before")))).withColumn("positions", F.transform(begins, at))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken", "position", "positions").orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def mix(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
+    """The curriculum folded to the first pass: without positions."""
+    return curriculum(documents, share, most, weights, tilts).drop("positions")
+
+
+def schedule(plan: DataFrame) -> DataFrame:
+    """doc_id, source, pass (from 0), words, position: a row for each document and pass of a curriculum, sorted by position."""
+    left = F.col("taken") - F.col("pass") * F.col("size")  # whole passes come first
+    rows = plan.select("doc_id", "source", "size", "taken", F.posexplode("positions").alias("pass", "position"))
+    return rows.select("doc_id", "source", "pass", F.least("size", left).alias("words"), "position").orderBy("position", "doc_id", "pass")
 
 
 def sql(table: str = "documents", share: float = 1.5, most: float = 2.0) -> str:

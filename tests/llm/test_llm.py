@@ -193,6 +193,25 @@ def test_mix_with_edges_matches_plain_running_sums(spark, texts, con, monkeypatc
     assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mix(docs(spark, [(1, None, None, None)])).first()["taken"] == 0
 
 
+def test_every_pass_has_its_position(spark, texts):
+    plan = mixing.curriculum(docs(spark, texts + EDGE))
+    rows = plan.collect()
+    assert all((r["positions"][:1] or [None])[0] == r["position"] for r in rows) and max(len(r["positions"]) for r in rows) > 1
+    words = mixing.schedule(plan).collect()
+    assert [w["position"] for w in words] == sorted(w["position"] for w in words) and all(w["words"] > 0 for w in words)
+    for source in {r["source"] for r in rows}:
+        mine = [w for w in words if w["source"] == source]
+        taken = sum(r["taken"] for r in rows if r["source"] == source)
+        assert sum(w["words"] for w in mine) == taken
+        target = next(r["target"] for r in rows if r["source"] == source)
+        tilt = mixing.TILTS[sorted((r["source"] for r in spark.createDataFrame(rows).select("source").distinct().collect()), key=lambda x: (x is None, x or "")).index(source) % 3]
+        given = 0
+        for w in sorted(mine, key=lambda w: (w["position"], w["pass"])):  # what a source gives by t is its schedule's integral
+            t = w["position"]
+            assert abs(t + tilt * (t - t * t) - given / target) < max(2e-6, 2 / target) * 4
+            given += w["words"]
+
+
 # Lattice
 def test_lattice_together_as_alone(monkeypatch):
     byte_names = [f"<0x{b:02X}>" for b in range(256)]
