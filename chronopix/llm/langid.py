@@ -143,8 +143,8 @@ def profiles(documents: DataFrame, longest: int = PROFILE) -> dict[str, list[str
 class Ranker:
     """Predicts by out-of-place distance."""
 
-    def __init__(self, known: dict[str, list[str]], own: int = OWN):
-        self.names, self.own = sorted(known), own
+    def __init__(self, known: dict[str, list[str]], own: int = OWN, unlearned: str = "und"):
+        self.names, self.own, self.unlearned = sorted(known), own, unlearned
         self.far = max([own, *map(len, known.values())], default=own)
         self.profile = {n: {g: i for i, g in enumerate(known[n])} for n in self.names}
         self.numbers = Numbers()
@@ -166,9 +166,11 @@ class Ranker:
         self.told += len(fresh)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """A language and 1 - its distance over the largest possible; 'und' and 0 without letters or languages. Ties of counts go by crc32 of the n-gram, of languages by code point."""
-        if not text or not self.names:
+        """A language and 1 - its distance over the largest possible; 'und' and 0 without letters, ``unlearned`` and 0 for letters without languages. Ties of counts go by crc32 of the n-gram, of languages by code point."""
+        if not text:
             return "und", 0.0
+        if not self.names:
+            return self.unlearned if any(map(str.isalpha, text.lower())) else "und", 0.0
         if len(self.numbers.ids) > KEPT:
             self.clear()
         ids = self.numbers(text)
@@ -189,18 +191,18 @@ class Ranker:
         return self.names[best], float(1 - out[best] / (self.far * len(there)))
 
 
-def identify(documents: DataFrame, training: DataFrame) -> DataFrame:
+def identify(documents: DataFrame, training: DataFrame, unlearned: str = "und") -> DataFrame:
     """The rows of documents, all their columns, with lang_pred and lang_score.
 
     Learns from text and lang of training's rows with a lang, all of them. Null, empty and letterless texts are 'und'
-    with score 0, as is everything if there is nothing to learn from. Columns of the names of the new ones are replaced.
+    with score 0. If there is nothing to learn from, texts with letters are ``unlearned``, with score 0. Columns of the names of the new ones are replaced.
     """
     known = profiles(training)
     documents = documents.drop("lang_pred", "lang_score")
     text = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranker = Ranker(known)
+        ranker = Ranker(known, unlearned=unlearned)
         for batch in batches:
             found = [ranker.predict(t) for t in batch.column(text).to_pylist()]
             new = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]

@@ -433,6 +433,13 @@ def test_stages(spark, sf, tmp_path):
     assert sorted(map(repr, d.collect())) == sorted(map(repr, corpus_pipeline.run(spark, sf).collect()))
 
 
+def test_language_stage_keeps_texts_with_letters(spark, sf):
+    lettered = sorted((i for i, t, _, _ in EDGE if any(map(str.isalpha, t or ""))), key=repr)
+    for rows in (EDGE, [(i, t, None, s) for i, t, _, s in EDGE]):  # languages to learn, and none
+        out = corpus_pipeline.language(spark, docs(spark, rows), sf)
+        assert sorted((r["doc_id"] for r in out.select("doc_id").collect()), key=repr) == lettered
+
+
 def test_pipeline_on_edges(spark, sf):
     d = docs(spark)
     for _, stage in corpus_pipeline.STAGES:
