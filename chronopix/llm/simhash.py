@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 from chronopix.llm.common import arrow_map, forget, texts, written
 
 THRESHOLD = 3
-#: Members of one anchor compared with each other in one go; a larger group is compared in blocks of it.
-BLOCK = 2_048
 #: Votes are summed over so many shingles at once.
 CHUNK = 65_536
 
@@ -127,7 +125,8 @@ def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]
     """Index pairs of a spanning forest of the links among distinct fingerprints.
 
     One breadth-first sweep: a member taken off the front is compared with all that no tree has yet, and those it
-    links to leave the rest. A cluster of near copies thus costs few comparisons; memory is linear in the members.
+    links to leave the rest. A cluster of near copies thus costs few comparisons; memory is linear in the members. Members
+    of one anchor that do not link are compared each with each, in one task: that time is quadratic in them.
     """
     left, edges = np.arange(len(fp)), []
     while len(left):
