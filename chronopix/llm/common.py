@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,28 +24,75 @@ def bucket(doc_id: Column, n: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares for intermediate tables: spark.checkpoint.dir, or, where that is unset, a temporary one."""
+    """The folder that the cluster shares for intermediate tables: spark.checkpoint.dir. Only a local master, whose executors all see one disk, may leave it unset."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return where or os.path.join(tempfile.gettempdir(), "chronopix-shared")
 
 
+#: Open scopes, innermost last: the tables that each has to delete.
+_SCOPES: list[list[DataFrame]] = []
+
+
+def _file_system(df: DataFrame) -> tuple[Any, Any]:
+    p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._chronopix_path)
+    return p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()), p
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df from a Parquet table in the shared folder: computed once, lineage cut, safe against lost executors."""
+    """The rows of df from a Parquet table in the shared folder: computed once, lineage cut, safe against lost executors.
+
+    The table goes with ``forget``, at the end of the scope it was made in, or when the application ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/chronopix/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._chronopix_path = path
+    files, p = _file_system(back)
+    files.deleteOnExit(p)
+    if _SCOPES:
+        _SCOPES[-1].append(back)
     return back
 
 
 def forget(df: DataFrame) -> None:
     """Deletes the table behind ``written(...)``; only for one that no plan still to run reads."""
-    path = getattr(df, "_chronopix_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+    if getattr(df, "_chronopix_path", None):
+        files, p = _file_system(df)
+        files.delete(p, True)
+        files.cancelDeleteOnExit(p)
+
+
+@contextmanager
+def scope() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end the tables written inside it, but those that were given to the function it yields."""
+    made: list[DataFrame] = []
+    _SCOPES.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        made[:] = [t for t in made if t is not df]
+        return df
+
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(made)
+        for t in made:
+            forget(t)
+
+
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each with as many underscores as make it unlike every column of df, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return tuple(out)
 
 
 def frequent(df: DataFrame, n: str, limit: int) -> DataFrame:
