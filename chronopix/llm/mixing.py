@@ -5,8 +5,9 @@ positive tilt and rises for a negative one and has the mean as its integral. Int
 no target above ``most`` times its source; what is above is shared out again by weight. A source's documents are taken in
 an order by digest, whole passes first, then up to the target, where the last document taken is cut. The words that a
 source has given before a document are that document's cumulative demand; inverting the schedule's integral there
-gives the training position of the document, and positions range-sort the result. A document taken in several
-passes has a position in each.
+gives t. As schedules of several sources need not add up to the same at every t, t becomes the share of all tokens that
+all sources have given by then: that is the training position of the document, and positions range-sort the result. A document
+taken in several passes has a position in each.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from chronopix.llm.common import WORD, only, written
 WEIGHTS, TILTS = (3.0, 1.0, 2.0), (0.5, 0.0, -0.5)
 #: Rows of one source and digest prefix, on average, at most.
 GROUP = 5_000
+#: Rows equal in source, id and size are one until they have their places; this many at once become rows again.
+COPIES = 65_536
 
 
 def progress(share: Column, tilt: Column) -> Column:
@@ -36,7 +39,7 @@ def _of(values: tuple[float, ...], i: Column) -> Column:
 
 
 def targets(sizes: DataFrame, share: float, most: float, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
-    """source, source_size -> source, source_size, tilt, target: one row a source, so one task holds them all.
+    """source, source_size -> source, source_size, tilt, target, lean: one row a source, so one task holds them all. lean: the tilt of all sources together, by target.
 
     With sources in order of most * size / weight, those before some place stop at most * size and the others share what
     is left by weight; that place is the first where the level, left over weight left, is under the source's own ratio.
@@ -51,17 +54,21 @@ def targets(sizes: DataFrame, share: float, most: float, weights: tuple[float, .
     first = F.min(F.when(free, F.struct((F.col("source_size") / F.col("weight")).alias("ratio"), F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"), "left", "weights"))).over(Window.partitionBy())
     s = s.select("*", free.alias("free"), first.alias("first"))
     shared = F.col("weight") * F.col("first.left") / F.col("first.weights")
-    return s.select("source", "source_size", "tilt", F.when(F.col("free"), shared).otherwise(F.lit(most) * F.col("source_size")).alias("target"))
+    s = s.select("source", "source_size", "tilt", F.when(F.col("free"), shared).otherwise(F.lit(most) * F.col("source_size")).alias("target"))
+    every = Window.partitionBy()
+    return s.withColumn("lean", F.coalesce(F.sum(F.col("target") * F.col("tilt")).over(every) / F.nullif(F.sum("target").over(every), F.lit(0.0)), F.lit(0.0)))
 
 
 def curriculum(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken, position, positions of every row, sorted by position.
 
-    size: words of the text, 0 for null and empty ones, which are taken with 0 words. position: of the first word taken,
-    null where none is. positions: of the first word taken in each pass over the source, empty where none is. A null source is one source, the last. Order within a source: md5 of the id as text, id, size;
-    rows equal in these are copies of each other to the mix. Reruns agree. An empty table gives an empty one.
-    Work per task is bounded: running sums are within a digest prefix of a source, and a prefix's start is a running sum
-    over the prefixes' totals.
+    size: words of the whole text, however long, 0 for null and empty ones, which are taken with 0 words. A position is a share
+    of all tokens, in [0, 1]. position: of the first word taken, null where none is. positions: of the first word taken in each
+    pass over the source, empty where none is. A null source is one source, the last. Order within a source: md5 of the id as
+    text, id, size; rows equal in these are copies of each other to the mix. Reruns agree. An empty table gives an empty one;
+    columns but doc_id, text and source are not read.
+    Work per task is bounded: running sums are over distinct rows of a digest prefix of a source, and a prefix's start is a running
+    sum over the prefixes' totals. One task handles one row per source, to set the targets.
     """
     d = only(documents, doc_id="bigint", text="string", source="string")
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -75,19 +82,25 @@ def curriculum(documents: DataFrame, share: float = 1.5, most: float = 2.0, weig
     ahead = Window.partitionBy("source").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     starts = groups.select(F.col("source").alias("s"), F.col("prefix").alias("p"), F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
     goals = targets(groups.groupBy("source").agg(F.sum("words").alias("source_size")), share, most, weights, tilts).withColumnRenamed("source", "s")
-    starts = starts.alias("a").join(goals.alias("b"), F.col("a.s").eqNullSafe(F.col("b.s"))).select("a.s", "p", "start", "source_size", "tilt", "target")
+    starts = starts.alias("a").join(goals.alias("b"), F.col("a.s").eqNullSafe(F.col("b.s"))).select("a.s", "p", "start", "source_size", "tilt", "lean", "target")
 
+    rows = rows.groupBy("source", "prefix", "digest", "doc_id", "size").agg(F.count("*").alias("copies"))
     own = Window.partitionBy("source", "prefix").orderBy("digest", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.select("*", F.coalesce(F.sum("size").over(own), F.lit(0)).alias("within"))
+    rows = rows.select("*", F.coalesce(F.sum(F.col("size") * F.col("copies")).over(own), F.lit(0)).alias("within"))
     rows = rows.join(starts, rows.source.eqNullSafe(starts.s) & (rows.prefix == starts.p))
-    before, goal = F.col("start") + F.col("within"), F.col("target")
+    # Copies become rows again, in runs that are dealt out, so that no task makes more than a run of one group's at a time.
+    run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(copies - 1) div {COPIES}"))).alias("run")
+    rows = rows.select("*", run).repartition("digest", "doc_id", "run")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.col("run") * COPIES, F.least(F.col("copies"), (F.col("run") + 1) * COPIES) - 1)))
+    before, goal = F.col("start") + F.col("within") + F.col("copy") * F.col("size"), F.col("target")
     passes = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     rest = F.floor(goal).cast("bigint") - passes * F.col("source_size")
     taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    rows = rows.select("doc_id", "source", "size", "source_size", "target", "tilt", before.alias("before"), taken.cast("bigint").alias("taken"), passes.alias("passes"))
+    rows = rows.select("doc_id", "source", "size", "source_size", "target", "tilt", "lean", before.alias("before"), taken.cast("bigint").alias("taken"), passes.alias("passes"))
 
     def at(word: Column) -> Column:
-        return F.round(progress(F.least(word / F.when(goal > 0, goal), F.lit(1.0)), F.col("tilt")), 6) + F.lit(0.0)  # never -0
+        t = progress(F.least(word / F.when(goal > 0, goal), F.lit(1.0)), F.col("tilt"))
+        return F.round(t + F.col("lean") * (t - t * t), 6) + F.lit(0.0)  # never -0
 
     begins = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("passes")), lambda k: F.col("before") + k * F.col("source_size"))
     begins = F.when(F.col("taken") > 0, F.filter(begins, lambda word: word < F.floor(goal))).otherwise(F.array().cast("array<bigint>"))
@@ -96,8 +109,9 @@ def curriculum(documents: DataFrame, share: float = 1.5, most: float = 2.0, weig
 
 
 def mix(documents: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[float, ...] = WEIGHTS, tilts: tuple[float, ...] = TILTS) -> DataFrame:
-    """The curriculum folded to the first pass: without positions."""
-    return curriculum(documents, share, most, weights, tilts).drop("positions")
+    """The curriculum with its positions folded to their number, passes, beside the first, position, and the last, last_position."""
+    plan = curriculum(documents, share, most, weights, tilts)
+    return plan.select("doc_id", "source", "size", "source_size", "target", "taken", "position", F.size("positions").cast("bigint").alias("passes"), F.try_element_at("positions", F.lit(-1)).alias("last_position"))
 
 
 def schedule(plan: DataFrame) -> DataFrame:
@@ -121,12 +135,15 @@ s3 AS (SELECT *, row_number() OVER up AS nr,
   FROM s2 WINDOW up AS (ORDER BY source_size / weight, source NULLS LAST)),
 s4 AS (SELECT *, room * weight < {most}::DOUBLE * source_size * weights AS free FROM s3),
 f AS (SELECT room AS r, weights AS w FROM s4 WHERE free ORDER BY nr LIMIT 1),
-s AS (SELECT source, source_size, tilt, CASE WHEN free THEN weight * (SELECT r FROM f) / (SELECT w FROM f) ELSE {most}::DOUBLE * source_size END AS target FROM s4),
-b AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY digest, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM d),
-j AS (SELECT doc_id, size, source_size, target, tilt, before, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes
+s5 AS (SELECT source, source_size, tilt, CASE WHEN free THEN weight * (SELECT r FROM f) / (SELECT w FROM f) ELSE {most}::DOUBLE * source_size END AS target FROM s4),
+s AS (SELECT *, coalesce(sum(target * tilt) OVER () / nullif(sum(target) OVER (), 0), 0) AS lean FROM s5),
+b AS (SELECT *, row_number() OVER () AS nr, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY digest, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM d),
+j AS (SELECT nr, doc_id, size, source_size, target, tilt, lean, before, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes
   FROM b JOIN s ON b.source IS NOT DISTINCT FROM s.source),
 t AS (SELECT *, passes * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - passes * source_size - before)) AS taken FROM j),
-u AS (SELECT *, least(before / nullif(target, 0), 1.0) AS share FROM t)
-SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken,
-  CASE WHEN taken > 0 THEN round(CASE WHEN tilt = 0 THEN share ELSE ((1 + tilt) - sqrt(greatest((1 + tilt) * (1 + tilt) - 4.0::DOUBLE * tilt * share, 0))) / (2.0::DOUBLE * tilt) END, 6) + 0.0 END AS position
-FROM u"""
+k AS (SELECT *, unnest(range(0, passes + 1)) AS k FROM t WHERE taken > 0),
+u AS (SELECT nr, lean, tilt, least((before + k * source_size) / target, 1.0) AS share FROM k WHERE before + k * source_size < floor(target)),
+w AS (SELECT nr, lean, CASE WHEN tilt = 0 THEN share ELSE ((1 + tilt) - sqrt(greatest((1 + tilt) * (1 + tilt) - 4.0::DOUBLE * tilt * share, 0))) / (2.0::DOUBLE * tilt) END AS v FROM u),
+p AS (SELECT nr, count(*) AS passes, round(min(v + lean * (v - v * v)), 6) + 0.0 AS position, round(max(v + lean * (v - v * v)), 6) + 0.0 AS last_position FROM w GROUP BY nr)
+SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, position, CAST(coalesce(p.passes, 0) AS BIGINT) AS passes, last_position
+FROM t LEFT JOIN p USING (nr)"""
