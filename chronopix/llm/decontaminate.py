@@ -7,22 +7,28 @@ whole items that are shorter. Hits make spans; spans are what ``remove`` cuts, w
 
 from __future__ import annotations
 
-import hashlib
+import math
+import pickle
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import only, texts, written
+from chronopix.llm.common import fresh, only, texts
 
 #: Words of a window.
 WINDOW = 13
 #: Words of items in one automaton, which bounds what is sent to the executors; more items make more automata.
 AUTOMATON_WORDS = 200_000
+#: Bytes of texts that a task takes through the automata together, and automata that it keeps in memory; no results depend on them.
+RUN_BYTES, KEPT = 32 << 20, 2
 #: A document is contaminated if hit words times this reach its words.
 COVERAGE = 20
 
+#: A word as SQL says it.
+_ITEM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NORM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -131,20 +137,30 @@ class Automaton:
         return spans, found
 
 
-def _automata(benchmark: DataFrame, window: int) -> list[Automaton]:
-    out, block, words = [], [], 0
-    for r in only(benchmark, item_id="bigint", text="string").toLocalIterator():
-        own = normalised((r["text"] or "").encode())
-        if block and words + len(own) > AUTOMATON_WORDS:
-            out.append(Automaton(block, window))
-            block, words = [], 0
-        block.append((r["item_id"], own))
-        words += len(own)
-    return [*out, Automaton(block, window)]
+def _automata(benchmark: DataFrame, window: int) -> list[Broadcast]:
+    """The automata of all items, each built in a task and sent to the executors, pickled; the driver holds one at a time. Equal items are one."""
+    most, spark = AUTOMATON_WORDS, benchmark.sparkSession
+    items = only(benchmark, item_id="bigint", text="string").distinct()
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(_ITEM_WORD)))).first()[0] or 0
+
+    def build(table: pa.Table) -> pa.Table:
+        out, part, size = [], [], 0
+        for i, text in zip(table["item_id"].to_pylist(), texts(table["text"]), strict=True):
+            own = normalised(text)
+            if part and size + len(own) > most:
+                out.append(pickle.dumps(Automaton(part, window), 5))
+                part, size = [], 0
+            part.append((i, own))
+            size += len(own)
+        return pa.table({"automaton": pa.array([*out, pickle.dumps(Automaton(part, window), 5)], pa.binary())})
+
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, math.ceil(words / most))))
+    built = items.where(F.col("text").isNotNull()).select("item_id", "text", block.alias("block")).groupBy("block").applyInArrow(build, "automaton binary")
+    return [spark.sparkContext.broadcast(bytes(r["automaton"])) for r in built.toLocalIterator()]
 
 
 _RESULT = pa.schema([("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64()))])
-_DDL = "spans array<struct<start:bigint,end:bigint>>, n_words bigint, n_hit bigint, items array<bigint>"
+_TYPES = ("array<struct<start:bigint,end:bigint>>", "bigint", "bigint", "array<bigint>")
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -157,45 +173,57 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def find(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of documents, all their columns, with spans (of words, apart), n_words, n_hit, items (ids in order).
+def _runs(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches, so many at once as have RUN_BYTES of text."""
+    run, size = [], 0
+    for b in batches:
+        run.append(b)
+        size += b.column(text).nbytes
+        if size >= RUN_BYTES:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def find(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, names: tuple[str, str, str, str] = ("spans", "n_words", "n_hit", "items")) -> DataFrame:
+    """The rows of documents, all their columns, with spans (of words, apart), n_words, n_hit, items (ids in order), or under other names.
 
     A hit word is inside an occurrence of a window: `window` words in a row of an item, or all words of a shorter item.
     Null, empty and wordless texts have no words and no hits; wordless items make no window; items with a null id
-    hit but aren't listed; repeated items and rows count as they are. Columns of documents with the names of the new ones
-    are replaced. One automaton holds at most AUTOMATON_WORDS words of items (or one item): more items are sent and
-    matched one automaton after the other, with the documents' spans so far as the next one's input.
+    hit but aren't listed; repeated items and rows count as they are. Whole texts count, however long. Columns of documents with the names of the
+    new ones are replaced. An empty table gives an empty one. One automaton holds at most AUTOMATON_WORDS words of items (or one item). Documents are
+    read once: a task holds RUN_BYTES of texts, or one batch, and takes them through all automata, of which it keeps KEPT in memory.
     """
-    out = documents.drop("spans", "n_words", "n_hit", "items")
+    out = documents.drop(*names)
     text = out.columns.index("text")
-    for k, automaton in enumerate(_automata(benchmark, window)):
-
-        def run(batches: Iterator[pa.RecordBatch], automaton: Automaton = automaton, later: bool = k > 0) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                spans, sizes, hits, items = [], [], [], []
-                if later:
-                    known = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("spans", "items"))
-                    known = list(zip(*known, strict=True))
-                for i, t in enumerate(texts(batch.column(text))):
-                    words = normalised(t)
-                    s, found = automaton.match(words)
-                    found.discard(None)
-                    if later:
-                        s = _merged([[x["start"], x["end"]] for x in known[i][0]] + s)
-                        found |= set(known[i][1])
-                    spans.append([{"start": a, "end": b} for a, b in s])
-                    sizes.append(len(words))
-                    hits.append(sum(b - a for a, b in s))
-                    items.append(sorted(found))
-                own = [batch.column(c) for c in range(batch.num_columns - 4 * later)]
-                new = [pa.array(x, f.type) for x, f in zip((spans, sizes, hits, items), _RESULT, strict=True)]
-                yield pa.RecordBatch.from_arrays(own + new, names=[*batch.schema.names[: len(own)], *_RESULT.names])
-
-        if k:
-            out = written(out, "spans")  # so that no task holds two automata
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if f.name not in _RESULT.names)
-        out = out.mapInArrow(run, f"{ddl}, {_DDL}")
-    return out
+    parts = _automata(benchmark, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, Automaton] = {}
+        for some in _runs(batches, text):
+            words = [normalised(t) for b in some for t in texts(b.column(text))]
+            spans: list[list[list[int]]] = [[] for _ in words]
+            items: list[set] = [set() for _ in words]
+            for k, part in enumerate(parts):
+                if (automaton := kept.get(k)) is None:
+                    automaton = pickle.loads(part.value)
+                    vars(part).pop("_value", None)  # the pickled form needn't stay
+                    if len(kept) < KEPT:
+                        kept[k] = automaton
+                for i, w in enumerate(words):
+                    s, found = automaton.match(w)
+                    spans[i] = _merged(spans[i] + s) if spans[i] and s else spans[i] or s
+                    items[i] |= found
+            at = 0
+            for b in some:
+                here = slice(at, at + b.num_rows)
+                at += b.num_rows
+                new = ([[{"start": x, "end": y} for x, y in s] for s in spans[here]], [len(w) for w in words[here]], [sum(y - x for x, y in s) for s in spans[here]], [sorted(f - {None}) for f in items[here]])
+                yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x, f.type) for x, f in zip(new, _RESULT, strict=True))], names=[*b.schema.names, *names])
+
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema] + [f"`{n}` {t}" for n, t in zip(names, _TYPES, strict=True)])
+    return out.mapInArrow(run, ddl)
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
@@ -227,31 +255,32 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def remove(documents: DataFrame, benchmark: DataFrame, longest: int | None = None, drop: bool = True) -> DataFrame:
     """Documents with their columns: contaminated ones go (drop) or lose their spans; of the others, spans of more than ``longest`` words are cut, none if that is None.
 
-    Only text changes, and n_chars where there is such a column.
+    Only text changes, and n_chars where there is such a column; columns of any name are left alone otherwise.
     """
-    found = find(documents, benchmark)
-    names = documents.columns
+    columns, names = documents.columns, fresh(documents, "spans", "n_words", "n_hit", "items")
+    found, bad = find(documents, benchmark, names=names), contaminated(names[2], names[1])
+    long = F.filter(names[0], lambda s: s["end"] - s["start"] > longest) if longest is not None else F.filter(names[0], lambda s: F.lit(False))
     if drop:
-        found = found.where(~contaminated())
+        found = found.where(~bad)
         if longest is None:
-            return found.select(*[F.col(f"`{c}`") for c in names])
-        cuts = F.filter("spans", lambda s: s["end"] - s["start"] > longest)
+            return found.select(*[F.col(f"`{c}`") for c in columns])
+        cuts = long
     else:
-        cuts = F.when(contaminated(), F.col("spans")).otherwise(F.filter("spans", lambda s: s["end"] - s["start"] > longest) if longest is not None else F.filter("spans", lambda s: F.lit(False)))
-    found = found.withColumn("spans", cuts)
+        cuts = F.when(bad, F.col(names[0])).otherwise(long)
+    found = found.withColumn(names[0], cuts).drop(*names[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            i, k = batch.schema.get_field_index("text"), batch.schema.get_field_index("spans")
+            i, k = batch.schema.get_field_index("text"), batch.schema.get_field_index(names[0])
             spans = batch.column(k).to_pylist()
             new = [cut(t, [(x["start"], x["end"]) for x in s]).decode() if s else None for t, s in zip(texts(batch.column(i)), spans, strict=True)]
             old = batch.column(i).to_pylist()
-            columns = list(batch.columns)
-            columns[i] = pa.array([o if n is None else n for n, o in zip(new, old, strict=True)], pa.string())
+            changed = list(batch.columns)
+            changed[i] = pa.array([o if n is None else n for n, o in zip(new, old, strict=True)], pa.string())
             if "n_chars" in batch.schema.names:
                 c = batch.schema.get_field_index("n_chars")
-                columns[c] = pa.array([o if n is None else len(n) for n, o in zip(new, batch.column(c).to_pylist(), strict=True)], batch.schema.field(c).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                changed[c] = pa.array([o if n is None else len(n) for n, o in zip(new, batch.column(c).to_pylist(), strict=True)], batch.schema.field(c).type)
+            yield pa.RecordBatch.from_arrays(changed, names=batch.schema.names)
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    return found.mapInArrow(run, ddl).select(*[F.col(f"`{c}`") for c in names])
+    return found.mapInArrow(run, ddl).select(*[F.col(f"`{c}`") for c in columns])
