@@ -38,7 +38,7 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lattice.report(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return lattice.report(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), ranked=True)
 
 
 def op6_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
