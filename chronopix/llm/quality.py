@@ -18,12 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import bucket, only, texts
+from chronopix.llm.common import bucket, forget, only, texts, written
 
 #: Indicators are hashed to so many bits.
 BITS = 18
 #: The model is fitted on a sample, by hash of the id, of about this many labelled rows (all, if fewer).
 SAMPLE = 12_000
+#: The sample's indicators, in all, that go to the driver: beyond that the sample is thinned once more, so that very long texts cannot fill it.
+INDICATORS = 40_000_000
+#: Bytes of a word's shape that count: runs are one byte, so only words that change kind of character that often are alike beyond.
+SHAPE = 8
 #: Passes of the descent, and the penalty's weight.
 PASSES, C = 15, 1.0
 #: Scores from here on predict 1.
@@ -51,7 +55,7 @@ class Featuriser:
         for b in word:
             if not out or out[-1] != b:
                 out.append(b)
-        s = bytes(out[:8])
+        s = bytes(out[:SHAPE])
         if len(self.shapes) > self.most:
             self.shapes.clear()
         self.shapes[word] = s
@@ -150,23 +154,31 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
 
 
 def sample(documents: DataFrame, labels: DataFrame, label: str, bound: int, skip) -> DataFrame:
-    """text, label of about ``bound`` labelled rows by hash of the id, all if there are fewer: the labels are thinned before the join, so they can be broadcast and documents stay where they are."""
-    kept = only(labels, doc_id="bigint", **{label: "int"}).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~skip(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    """doc_id, text, label of about ``bound`` labelled rows by hash of the id, all if there are fewer: the labels are thinned before the join, so they can be broadcast and documents stay where they are.
+
+    Of an id's several labels the least counts; labels that are null or have no id are none. Documents that share an id all have its label.
+    """
+    kept = only(labels, doc_id="bigint", **{label: "int"}).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~skip(F.col("doc_id"))).groupBy("doc_id").agg(F.min(label).alias(label))
     share = min(1.0, bound / max(1, kept.count()))
     kept = kept.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
     return only(documents, doc_id="bigint", text="string").join(F.broadcast(kept), "doc_id").select("doc_id", "text", F.col(label).alias("label"))
 
 
 def train(documents: DataFrame, labels: DataFrame, skip) -> Model:
-    """A model from a sample of the labelled rows that ``skip`` leaves. Of an id's several labels one counts. Sampled rows' hashed indicators, not texts, go to the driver."""
+    """A model from a sample of the labelled rows that ``skip`` leaves. Sampled rows' hashed indicators, INDICATORS in all at most, not texts, go to the driver, in order of id and text: reruns agree to the bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Featuriser()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([f(t) for t in texts(b.column(1))], pa.list_(pa.int32()))], names=["doc_id", "label", "features"])
-
-    rows = sample(documents, labels, "quality", SAMPLE, skip).mapInArrow(run, "doc_id bigint, label int, features array<int>").toArrow()
-    by = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(2), pa.array([f(t) for t in texts(b.column(1))], pa.list_(pa.int32()))], names=["doc_id", "hash", "label", "features"])
+
+    rows = sample(documents, labels, "quality", SAMPLE, skip).withColumn("hash", F.xxhash64("text"))
+    rows = written(rows.mapInArrow(run, "doc_id bigint, hash bigint, label int, features array<int>"), "indicators")
+    total = rows.agg(F.sum(F.size("features").cast("bigint"))).first()[0] or 0
+    share = min(1.0, INDICATORS / max(1, total))
+    table, rows = rows, rows.where(F.pmod(F.xxhash64(F.lit(13), "doc_id", "hash"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0)).toArrow()
+    forget(table)
+    by = np.lexsort((rows["hash"].to_numpy(), rows["doc_id"].to_numpy()))
     column = rows["features"].combine_chunks()
     ends, flat = column.offsets.to_numpy(), column.flatten().to_numpy()
     ends = ends - ends[0]
@@ -185,7 +197,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; learns from labelled rows that are not held out."""
+    """doc_id, held_out, score, predicted of every row; learns from labelled rows that are not held out.
+
+    Null texts are as empty ones, which have the score of a text without words; whole texts count, however long. Repeated rows and ids are
+    rows of their own. Without labels every score is a half. An empty table gives an empty one; columns but doc_id, text and quality are not read.
+    """
     held = lambda c: bucket(c, 5) == 0
     out = score(documents, train(documents, labels, held))
     return out.select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

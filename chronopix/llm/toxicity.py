@@ -87,10 +87,10 @@ def _fires(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, list[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hits = [sorted(known[p] for p in features(t) if p in known) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hits, pa.list_(pa.int32()))], names=["doc_id", "label", "hits"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hits, pa.list_(pa.int32())), b.column(3)], names=["doc_id", "label", "hits", "h"])
 
-    got = rows.mapInArrow(run, "doc_id bigint, label int, hits array<int>").toArrow()
-    by = np.argsort(got["doc_id"].to_numpy(), kind="stable")
+    got = rows.select("doc_id", "text", "label", "h").mapInArrow(run, "doc_id bigint, label int, hits array<int>, h bigint").toArrow()
+    by = np.lexsort((got["h"].to_numpy(), got["doc_id"].to_numpy()))
     hits = got["hits"].to_pylist()
     return got["label"].to_numpy()[by], [np.array(hits[i], np.int64) for i in by]
 
@@ -217,7 +217,7 @@ def linear(votes: np.ndarray, target: np.ndarray, penalty: float = 1.0) -> tuple
 def train(documents: DataFrame, labels: DataFrame, skip) -> Classifier:
     """A classifier from a sample of the labelled rows that ``skip`` leaves. Without toxic rows nothing is toxic; of an id's several labels one counts. Equal texts count once."""
     rows = sample(documents, labels, "toxic", SAMPLE, skip)
-    rows = rows.withColumn("h", F.xxhash64("text")).groupBy("h").agg(F.min(F.struct("doc_id", "label", "text")).alias("r")).select("r.doc_id", "r.text", "r.label")
+    rows = rows.withColumn("h", F.xxhash64("text")).groupBy("h").agg(F.min(F.struct("doc_id", "label", "text")).alias("r")).select("r.doc_id", "r.text", "r.label", "h")
     rows = written(rows, "labelled")
     n = rows.groupBy("label").count().collect()
     total = {r["label"]: r["count"] for r in n}
@@ -240,17 +240,17 @@ def train(documents: DataFrame, labels: DataFrame, skip) -> Classifier:
     return Classifier(voters, weights, bias)
 
 
-def score(documents: DataFrame, model: Classifier) -> DataFrame:
-    """The rows of documents, all their columns, with toxicity; a column of that name is replaced."""
-    documents = documents.drop("toxicity")
+def score(documents: DataFrame, model: Classifier, name: str = "toxicity") -> DataFrame:
+    """The rows of documents, all their columns, with toxicity under that name; a column that has it is replaced. Null texts are as empty ones."""
+    documents = documents.drop(name)
     text = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([model.score(t) for t in b.column(text).to_pylist()], pa.float64())], names=[*b.schema.names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([model.score(t) for t in b.column(text).to_pylist()], pa.float64())], names=[*b.schema.names, name])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(run, f"{ddl}, toxicity double")
+    return documents.mapInArrow(run, f"{ddl}, `{name}` double")
 
 
 def held_out(doc_id):
@@ -258,6 +258,10 @@ def held_out(doc_id):
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; learns from labelled rows that are not held out."""
+    """doc_id, held_out, score, predicted of every row; learns from labelled rows that are not held out.
+
+    Null, empty and wordless texts have the score of a text on which no voter fires; whole texts count, however long. Repeated rows and ids are
+    rows of their own. Without toxic labels nothing is toxic. An empty table gives an empty one; columns but doc_id, text and toxic are not read.
+    """
     out = score(only(documents, doc_id="bigint", text="string"), train(documents, labels, held_out))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= THRESHOLD).cast("int").alias("predicted"))
