@@ -23,6 +23,8 @@ from chronopix.llm.common import bucket, only
 LONGEST, PROFILE, OWN = 3, 1_000, 300
 #: N-grams that a task keeps numbers of; memory only.
 KEPT = 600_000
+#: Counts that a task keeps, over all its languages; memory only.
+CELLS = 16_000_000
 #: Languages that profiles are kept for; more are an error, for profiles are sent to every executor.
 LANGUAGES = 2_000
 
@@ -98,10 +100,10 @@ class Numbers:
 
 
 def profiles(documents: DataFrame, longest: int = PROFILE) -> dict[str, list[str]]:
-    """The profile of every language from all rows with a lang: n-grams by count, ties by code point. No row with letters: no language."""
+    """The profile of every language from the text and lang of all rows with a lang: n-grams by count, ties by code point. No row with letters: no language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, seen = Numbers(), {}
+        numbers, seen, cells = Numbers(), {}, 0
 
         def out() -> Iterator[pa.RecordBatch]:
             names = np.array(list(numbers.ids), dtype=object)
@@ -118,13 +120,15 @@ def profiles(documents: DataFrame, longest: int = PROFILE) -> dict[str, list[str
                 own = np.bincount(numbers(text))
                 total = seen.get(lang)
                 if total is None or len(total) < len(own):
-                    grown = np.zeros(max(1 << 14, 2 * len(own)), np.int64)
+                    grown = np.zeros(max(1 << 10, 2 * len(own)), np.int64)
+                    cells += len(grown) - (0 if total is None else len(total))
                     if total is not None:
                         grown[: len(total)] = total
                     total = seen[lang] = grown
                 total[: len(own)] += own
-                if len(numbers.ids) > KEPT:
+                if len(numbers.ids) > KEPT or cells > CELLS:
                     yield from out()
+                    cells = 0
         yield from out()
 
     counted = documents.where(F.col("lang").isNotNull()).select("text", "lang").mapInArrow(count, "lang string, gram string, n bigint")
@@ -191,14 +195,13 @@ class Ranker:
         return self.names[best], float(1 - out[best] / (self.far * len(there)))
 
 
-def identify(documents: DataFrame, training: DataFrame, unlearned: str = "und") -> DataFrame:
-    """The rows of documents, all their columns, with lang_pred and lang_score.
+def identify(documents: DataFrame, known: dict[str, list[str]], unlearned: str = "und", names: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """The rows of documents, all their columns, with lang_pred and lang_score, or under other names, by the known profiles.
 
-    Learns from text and lang of training's rows with a lang, all of them. Null, empty and letterless texts are 'und'
-    with score 0. If there is nothing to learn from, texts with letters are ``unlearned``, with score 0. Columns of the names of the new ones are replaced.
+    Null, empty and letterless texts are 'und' with score 0. If no language is known, texts with letters are ``unlearned``, with
+    score 0. Columns of the names of the new ones are replaced.
     """
-    known = profiles(training)
-    documents = documents.drop("lang_pred", "lang_score")
+    documents = documents.drop(*names)
     text = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,10 +209,10 @@ def identify(documents: DataFrame, training: DataFrame, unlearned: str = "und")
         for batch in batches:
             found = [ranker.predict(t) for t in batch.column(text).to_pylist()]
             new = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *names])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(run, f"{ddl}, lang_pred string, lang_score double")
+    return documents.mapInArrow(run, f"{ddl}, `{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -217,7 +220,11 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row; learns from the rows that are not held out."""
+    """doc_id, held_out, lang_pred, score of every row; learns from the rows that are not held out and have a lang.
+
+    Null, empty and letterless texts are 'und' with score 0, as all are where nothing can be learned; whole texts count, however long. Repeated
+    rows and ids are rows of their own. An empty table gives an empty one; columns but doc_id, text and lang are not read.
+    """
     d = only(documents, doc_id="bigint", text="string", lang="string")
-    found = identify(d.select("doc_id", "text"), d.where(~held_out()).select("text", "lang"))
+    found = identify(d.select("doc_id", "text"), profiles(d.where(~held_out()).select("text", "lang")))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
