@@ -100,7 +100,8 @@ def digest(text: str) -> str:
 def scan(documents: DataFrame, known: dict[str, str] | None = None, most: int = 100_000) -> DataFrame:
     """doc_id, digest, license_id of every row; license_id is null where the whole text is no known licence.
 
-    Null and empty texts, and texts of copyright lines and punctuation alone, have the digest of the empty text and no
+    Repeated rows and ids are rows of their own; whole texts count, however long; an empty table gives an empty one; columns but doc_id and text
+    are not read. Null and empty texts, and texts of copyright lines and punctuation alone, have the digest of the empty text and no
     licence. A text that is none by its digest is looked up without its copyright statements
     alone, as a wrapped line may begin with the word. Two licences of one canonical form give the smaller identifier. The known digests are a stated table of at
     most ``most`` rows (else ValueError), so the hash join broadcasts them; documents are not shuffled.
@@ -126,8 +127,8 @@ def scan(documents: DataFrame, known: dict[str, str] | None = None, most: int =
     return found.select("doc_id", "digest", F.coalesce("a", "b").alias("license_id"))
 
 
-def sql() -> str:
-    """The scan of ``documents`` in DuckDB's SQL."""
+def sql(table: str = "documents") -> str:
+    """The scan of the table in DuckDB's SQL."""
     q = lambda s: "'" + s.replace("'", "''") + "'"
     spell = "w"
     for k, v in SPELLINGS.items():
@@ -135,7 +136,7 @@ def sql() -> str:
     known = ", ".join(f"({q(d)}, {q(n)})" for n, d in ((n, digest(t)) for n, t in KNOWN.items()))
     return f"""WITH lines AS (
   SELECT doc_id, list_filter(string_split(replace(coalesce(text, ''), chr(13), chr(10)), chr(10)), lambda x: NOT regexp_matches(x, '^[ \\t]*((?i)copyright|\\(c\\)|©|all rights reserved)')) AS kept
-  FROM documents), words AS (
+  FROM {table}), words AS (
   SELECT doc_id, regexp_extract_all(translate(array_to_string(kept, chr(10)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
   FROM lines), digests AS (
   SELECT doc_id, sha256(array_to_string(list_transform(ws, lambda w: {spell}), ' ')) AS digest FROM words),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import arrow_map, forget, texts, written
+from chronopix.llm.common import arrow_map, forget, fresh, texts, written
 
 THRESHOLD = 3
 #: Votes are summed over so many shingles at once.
@@ -246,7 +246,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable over links, its own included. Rows of one fingerprint are one class,
     so copies, null, empty and blank texts among them, are never paired. Repeated doc_ids are rows of their own. Rows
-    whose doc_id is null get the component's smallest id, null if it has none. An empty table gives an empty one.
+    whose doc_id is null get the component's smallest id, null if it has none. An empty table gives an empty one. Whole texts count,
+    however long: votes are summed by runs of shingles. Columns but doc_id and text are not read.
     """
     rows = written(fingerprints(documents), "fingerprints")
     return _labelled(rows).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -261,10 +262,12 @@ def keep_one(documents: DataFrame) -> DataFrame:
     rows = written(fingerprints(documents, key), "fingerprints")
     mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     best = _labelled(rows).groupBy("root", mine.alias("m")).agg(F.count("*").alias("copies")).groupBy("root").agg(F.min(F.struct("m", "copies")).alias("b"))
-    best = written(best.select(F.col("b.m.doc_id").alias("_kept"), F.col("b.m.row").alias("_kept_row"), F.col("b.copies").alias("copies")), "kept")
-    keyed = documents.withColumn("_row", key)
-    same = keyed["doc_id"].eqNullSafe(F.col("_kept")) & (F.col("_row") == F.col("_kept_row"))
-    out = keyed.join(best.where("copies = 1"), same, "left_semi").drop("_row")
-    if not best.where("copies > 1").isEmpty():  # exact copies of rows, ids and all: only they are grouped
-        out = out.unionByName(keyed.join(best.where("copies > 1"), same, "left_semi").dropDuplicates(["doc_id", "_row"]).drop("_row"))
+    row, kept, kept_row, copies = fresh(documents, "_row", "_kept", "_kept_row", "copies")
+    best = written(best.select(F.col("b.m.doc_id").alias(kept), F.col("b.m.row").alias(kept_row), F.col("b.copies").alias(copies)), "kept")
+    keyed = documents.withColumn(row, key)
+    same = keyed["doc_id"].eqNullSafe(best[kept]) & (keyed[row] == best[kept_row])
+    out = keyed.join(best.where(F.col(copies) == 1), same, "left_semi").drop(row)
+    again = best.where(F.col(copies) > 1)
+    if not again.isEmpty():  # exact copies of rows, ids and all: only they are grouped
+        out = out.unionByName(keyed.join(again, same, "left_semi").dropDuplicates(["doc_id", row]).drop(row))
     return out
