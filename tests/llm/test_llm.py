@@ -12,7 +12,9 @@ import corpus_pipeline
 from chronopix.llm import ann, decontaminate, langid, lattice, licenses, mixing, quality, queries, simhash, tokens, toxicity
 from tests.oracle import check, connect
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string, row string, word string, score string, spans string, prefix string, lang_pred string, toxicity string"
+#: Every other name that an operator gives a column of its own.
+CLASH = "_row _kept _kept_row copies n_words n_hit items lang_score h hash features letters digest taken run copy own held_out label predicted least root component_id fingerprint".split()
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string, row string, word string, score string, spans string, prefix string, lang_pred string, toxicity string, " + ", ".join(f"{c} string" for c in CLASH)
 LONG = " ".join(f"w{i % 977} lorem" for i in range(60_000))
 EDGE = [
     (1, None, None, None), (2, "", "en", ""), (3, " \t\n\x0b", "en", "a"), (4, "one", "en", "a"), (5, "One  TWO", "fr", "b"), (6, "One  TWO", "fr", "b"), (6, "One  TWO", "fr", "b"), (None, "a b c d", None, None),
@@ -21,7 +23,7 @@ EDGE = [
 
 
 def docs(spark, rows=EDGE):
-    return spark.createDataFrame([(i, t, l, s, len(t or ""), *["clash"] * 8) for i, t, l, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, l, s, len(t or ""), *["clash"] * (8 + len(CLASH))) for i, t, l, s in rows], SCHEMA)
 
 
 @pytest.fixture(scope="module")
@@ -69,6 +71,49 @@ def test_search_edges(spark):
     assert ann.search(df.limit(0), df.limit(0)).count() == 0 and ann.search(df, df.limit(0)).count() == 0
 
 
+def _clustered(spark, n, d, clusters, spread):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(clusters, d))
+    m = centres[r.integers(0, clusters, n)] + spread * r.normal(size=(n, d))
+    return spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id bigint, embedding array<double>"), m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("n,d,clusters,spread", [(6_000, 384, 60, 1.0), (6_000, 64, 1, 1.0)])
+def test_search_over_many_cells_and_blocks(spark, monkeypatch, n, d, clusters, spread):
+    """Recall where the index has 20 cells and more, met block by block; and everything is found where every cell is visited whole."""
+    monkeypatch.setattr(ann, "CELL", 300)
+    monkeypatch.setattr(ann, "QUERIES", 16)
+    e, m = _clustered(spark, n, d, clusters, spread)
+    asked = e.where("vec_id % 60 = 0")
+    for exact, least in ((False, 0.9), (True, 1.0)):
+        got = {}
+        for r in ann.search(e, asked, exact=exact).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        hit = 0
+        for q in range(0, n, 60):
+            s = m @ m[q]
+            s[q] = -9
+            hit += len(got[q] & set(np.argsort(-s)[:5].tolist()))
+        assert hit / (5 * len(got)) >= least and len(got) == n // 60
+
+
+def test_search_of_a_crowded_cell_and_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL", 10)
+    r = np.random.default_rng(2)
+    near = [(i, (np.array([1.0, 0, 0]) + 0.01 * r.normal(size=3)).tolist()) for i in range(200)]  # most in one cell
+    rows = near + [(1_000 + i, [0.0, 1.0, 0.0]) for i in range(300)] + [(i + 5_000, r.normal(size=3).tolist()) for i in range(30)]
+    e = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [tuple(x) for x in ann.search(e, e.where("vec_id % 100 = 0"), exact=True).orderBy("query_id", "rank").collect()]
+    m = np.array([x for _, x in rows])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    ids, want = np.array([i for i, _ in rows]), []
+    for q in np.nonzero(ids % 100 == 0)[0][np.argsort(ids[ids % 100 == 0])]:
+        s = (m * m[q]).sum(axis=1)
+        s[q] = -9
+        want += [(ids[q], k + 1, ids[x], pytest.approx(s[x], abs=1e-12)) for k, x in enumerate(np.lexsort((ids, -np.round(s, 13)))[:5])]
+    assert got == want
+
+
 def test_footrule_matches_its_definition():
     rng = np.random.default_rng(1)
     orders = np.array([rng.permutation(12)[:5] for _ in range(40)], np.int16)
@@ -140,6 +185,38 @@ def test_no_link_is_lost(spark):
     assert [got[k] for k, _ in rows] == brute_components(rows)
 
 
+def test_tables_go_with_their_scope_and_need_a_shared_folder(spark, sf, tmp_path, monkeypatch):
+    import os
+
+    from chronopix.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    corpus_pipeline.run(spark, sf).count()
+    assert [x.split("-")[:2] for x in os.listdir(tmp_path / "chronopix")] == [["stage", "mixture"]]
+    monkeypatch.undo()
+
+    class Far:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda _: None)}))
+
+    with pytest.raises(RuntimeError):
+        common.shared_dir(Far)
+
+
+def test_columns_of_any_name_survive(spark, sf):
+    d = docs(spark)
+    mine = d.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, d, sf)
+        assert out.columns == mine, name
+        for r in out.collect():
+            assert all(r[c] == "clash" for c in mine[5:]), name
+
+
 def test_one_document_of_each_group_stays(spark, texts):
     apart = [(None if i is None else i + 100_000, t, a, b) for i, t, a, b in EDGE]  # an id that is in several components keeps a row in each
     rows = texts + apart + [(i, t, "xx", "yy") for i, t, _, _ in texts[:5]]
@@ -194,22 +271,38 @@ def test_mix_with_edges_matches_plain_running_sums(spark, texts, con, monkeypatc
 
 
 def test_every_pass_has_its_position(spark, texts):
+    """In every tenth of training each source gives what its schedule's integral says, within a document; written without the operator's formulas."""
     plan = mixing.curriculum(docs(spark, texts + EDGE))
     rows = plan.collect()
     assert all((r["positions"][:1] or [None])[0] == r["position"] for r in rows) and max(len(r["positions"]) for r in rows) > 1
     words = mixing.schedule(plan).collect()
     assert [w["position"] for w in words] == sorted(w["position"] for w in words) and all(w["words"] > 0 for w in words)
-    for source in {r["source"] for r in rows}:
-        mine = [w for w in words if w["source"] == source]
-        taken = sum(r["taken"] for r in rows if r["source"] == source)
-        assert sum(w["words"] for w in mine) == taken
-        target = next(r["target"] for r in rows if r["source"] == source)
-        tilt = mixing.TILTS[sorted((r["source"] for r in spark.createDataFrame(rows).select("source").distinct().collect()), key=lambda x: (x is None, x or "")).index(source) % 3]
-        given = 0
-        for w in sorted(mine, key=lambda w: (w["position"], w["pass"])):  # what a source gives by t is its schedule's integral
-            t = w["position"]
-            assert abs(t + tilt * (t - t * t) - given / target) < max(2e-6, 2 / target) * 4
-            given += w["words"]
+    names = sorted({r["source"] for r in rows}, key=lambda x: (x is None, x or ""))
+    target, tilt = {r["source"]: r["target"] for r in rows}, {n: (0.5, 0.0, -0.5)[i % 3] for i, n in enumerate(names)}
+    longest, total = {n: max(r["size"] for r in rows if r["source"] == n) for n in names}, sum(target.values())
+    steps = 20_000  # t in small steps: weights at t, their integrals, and which t has given a share of all tokens
+    integral, share_at = dict.fromkeys(names, 0.0), []
+    per_tenth = {n: [] for n in names}
+    for i in range(steps):
+        for n in names:
+            integral[n] += target[n] * (1 + tilt[n] * (1 - 2 * (i + 0.5) / steps)) / steps
+        share_at.append(sum(integral.values()) / total)
+        if share_at[-1] >= (len(per_tenth[names[0]]) + 1) / 10 - 1e-9:
+            for n in names:
+                per_tenth[n].append(integral[n])
+    for n in names:
+        assert sum(w["words"] for w in words if w["source"] == n) == sum(r["taken"] for r in rows if r["source"] == n)
+        for tenth, want in enumerate(per_tenth[n], 1):
+            got = sum(w["words"] for w in words if w["source"] == n and w["position"] < tenth / 10)
+            assert abs(got - want) <= longest[n] + 2, (n, tenth)
+
+
+def test_rows_equal_to_the_mix_share_a_group(spark, monkeypatch, con):
+    monkeypatch.setattr(mixing, "GROUP", 20)
+    monkeypatch.setattr(mixing, "COPIES", 7)  # so that copies come in several runs
+    d = docs(spark, [(None, "a b", "en", "s")] * 50 + [(5, "x y z", "en", "s")] * 30 + [(i, "one two", "en", "t") for i in range(40)])
+    con.register("copies", d.select("doc_id", "text", "source").toPandas().astype({"doc_id": "Int64"}))
+    check(mixing.mix(d).drop("source"), con, mixing.sql("copies"))
 
 
 # Lattice
@@ -256,9 +349,9 @@ def test_forward_sums_all_segmentations():
 def test_scores_base_and_joined_words(spark, texts, monkeypatch):
     rows = texts + EDGE
     path = queries._vocabulary("piece_bpe_32k.model")
-    whole = {repr((r["doc_id"], r["n_tokens"], round(r["score"], 6))) for r in lattice.report(docs(spark, rows), path).collect()}
+    whole = {repr((r["doc_id"], r["n_tokens"], round(r["score"], 6))) for r in lattice.report(docs(spark, rows), path, ranked=True).collect()}
     monkeypatch.setattr(lattice, "HEAD", 50)  # so that most words are joined
-    got = lattice.report(docs(spark, rows), path).collect()
+    got = lattice.report(docs(spark, rows), path, ranked=True).collect()
     assert {repr((r["doc_id"], r["n_tokens"], round(r["score"], 6))) for r in got} == whole and len(got) == len(rows)
     from zlib import crc32
 
@@ -269,7 +362,7 @@ def test_scores_base_and_joined_words(spark, texts, monkeypatch):
     want = sorted(((i, held(i), len(w := toks(t)), sum(x in c for x in w), n, round(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), 4)) for i, t, _, _ in rows), key=repr)
     assert sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4)) for r in got), key=repr) == want
     assert all(r["score"] < 0 for r in got)
-    assert lattice.report(docs(spark, []), path).count() == 0
+    assert lattice.report(docs(spark, []), path, ranked=True).count() == 0
 
 
 # Classifiers
@@ -277,6 +370,17 @@ def _labels(spark, sf):
     return spark.read.parquet(f"{sf}/labels.parquet")
 
 
+@pytest.mark.parametrize("report,label", [(quality.report, "quality"), (toxicity.report, "toxic")])
+def test_reruns_agree_to_the_bit(spark, report, label):
+    """Whatever the order of rows and of an id's conflicting labels."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = _labels(spark, "/root/testdata/sf0.01").select("doc_id", label)
+    labels = labels.union(labels.where("doc_id % 7 = 0").select("doc_id", 1 - labels[label]))
+    d = d.union(d.where("doc_id % 5 = 3").withColumn("text", d["text"].substr(1, 300)))
+    runs = [sorted(map(tuple, report(d.repartition(k).sortWithinPartitions(by), labels.repartition(k)).select("doc_id", "score").collect())) for k, by in ((3, "doc_id"), (7, "text"))]
+    assert runs[0] == runs[1]
+
+
 @pytest.mark.parametrize("name,label", [("op6_nbsvm_quality", "quality"), ("op9_weak_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
     sf = "/root/testdata/sf0.1"
@@ -433,6 +537,17 @@ def test_stages(spark, sf, tmp_path):
     assert sorted(map(repr, d.collect())) == sorted(map(repr, corpus_pipeline.run(spark, sf).collect()))
 
 
+def test_language_stage_rejects_other_languages(spark, sf, texts):
+    foreign = [
+        "Witaj w naszym domu, dzisiaj jest bardzo ładna pogoda i idziemy na spacer do parku z psem oraz kotem, a potem wrócimy na obiad",
+        "Tervetuloa kotiimme, tänään on kaunis sää ja menemme kävelylle puistoon koiran kanssa, sitten syömme yhdessä päivällistä",
+        "Привет, как дела, сегодня хорошая погода и мы идём гулять в парк с собакой, а потом вернёмся домой обедать вместе",
+    ]
+    rows = texts + [(900_000 + i, t, None, "s") for i, t in enumerate(foreign)]
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs(spark, rows), sf).select("doc_id").collect()}
+    assert not kept & {900_000, 900_001, 900_002} and kept == {i for i, t, _, _ in texts if any(map(str.isalpha, t or ""))}
+
+
 def test_language_stage_keeps_texts_with_letters(spark, sf):
     lettered = sorted((i for i, t, _, _ in EDGE if any(map(str.isalpha, t or ""))), key=repr)
     for rows in (EDGE, [(i, t, None, s) for i, t, _, s in EDGE]):  # languages to learn, and none
