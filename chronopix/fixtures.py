@@ -17,7 +17,7 @@ STATUS = {"status": {"bits": [0, 1], "values": {0: "open", 1: "final", 2: "pendi
 
 BANDS = (
     Measurement("blue", "float64"), Measurement("green", "float64"), Measurement("red", "float64", 0.0), Measurement("nir", "float64", 0.0), Measurement("gain", "float64"),
-    Measurement("raw_red", "float64"), Measurement("water", "uint8"), Measurement("pq", "int32", flags_definition=PQ_FLAGS), Measurement("count8", "int8", -1),
+    Measurement("raw_red", "float64"), Measurement("raw_nir", "float64"), Measurement("water", "uint8"), Measurement("pq", "int32", flags_definition=PQ_FLAGS), Measurement("count8", "int8", -1),
 )
 
 
@@ -43,6 +43,7 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("nir"),
         (F.col("l_discount") + 1).alias("gain"),
         F.col("l_discount").alias("raw_red"),
+        F.col("l_tax").alias("raw_nir"),
         water.alias("water"),
         (bit(F.col("l_discount") > 0, 0) + bit(F.col("l_tax") > 0.06, 1) + bit(F.col("l_quantity") > 25, 2)).alias("pq"),
         (F.col("l_quantity") - 25).cast("int").alias("count8"),
@@ -58,7 +59,7 @@ def six_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     status = F.when(F.col("o_orderstatus") == "O", 0).when(F.col("o_orderstatus") == "F", 1).otherwise(2)
-    return lineitem(spark, sf_dir).select(*_keys(), "l_orderkey").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), status.alias("status"), F.col("o_totalprice").alias("level")), "l_orderkey").drop("l_orderkey")
+    return lineitem(spark, sf_dir).select(*_keys(), "l_orderkey").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), status.alias("status"), F.col("o_totalprice").alias("level")), "l_orderkey").drop("l_orderkey").withColumn("lon", F.col("x") * 3.0)
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,7 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     c = Catalog()
     c.register("obs", lambda: cube(spark, sf_dir).withColumn("dataset_id", F.col("l_orderkey")).withColumn("lon", F.col("x") * 3.0), BANDS)
+    c.register("obs_utc", lambda: cube(spark, sf_dir).withColumn("lon", F.lit(0.0)), BANDS)  # whose solar day is the date
     for flag in "ANR":
         c.register(f"obs_{flag}", lambda flag=flag: cube(spark, sf_dir).where(F.col("l_returnflag") == flag), BANDS)
     c.register("six", lambda: six_bands(spark, sf_dir), [*BANDS[:4], Measurement("swir1", "float64"), Measurement("swir2", "float64")])

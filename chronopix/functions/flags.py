@@ -12,7 +12,7 @@ from chronopix.model import ConfigurationError
 
 # Bits of the water classification byte.
 WATER_FLAGS: dict[str, dict[str, Any]] = {
-    "nodata": {"bits": 0, "values": {0: False, 1: True}},
+    "nodata": {"bits": 0, "values": {1: True}},
     "noncontiguous": {"bits": 1, "values": {0: False, 1: True}},
     "sea": {"bits": 2, "values": {0: False, 1: True}},
     "terrain_or_low_angle": {"bits": 3, "values": {0: False, 1: True}},

@@ -32,6 +32,46 @@ class GridSpec:
         return [(i, k) for i in span(min(xs), max(xs), self.tile_size[0]) for k in span(min(ys), max(ys), self.tile_size[1])]
 
 
+    def touching(self, rings: Sequence[Ring]) -> list[tuple[int, int]]:
+        """Cells that have more than an edge in common with the area of the rings, by x then y."""
+        out = []
+        for cell in sorted({c for r in rings for c in self.cells(r)}):
+            (x0, y0), (w, h) = (cell[0] * self.tile_size[0], cell[1] * self.tile_size[1]), self.tile_size
+            if any(_cuts(r, x0, y0, x0 + w, y0 + h) for r in rings) or holds(rings, x0 + w / 2, y0 + h / 2):
+                out.append(cell)
+        return out
+
+
+def _cuts(ring: Ring, x0: float, y0: float, x1: float, y1: float) -> bool:
+    """Whether an edge of the ring goes through the inside of the box: what is left of it after clipping has its middle there."""
+    points = list(ring)
+    for (ax, ay), (bx, by) in zip(points, points[1:] + points[:1], strict=True):
+        lo, hi = 0.0, 1.0
+        for a, d, low, high in ((ax, bx - ax, x0, x1), (ay, by - ay, y0, y1)):
+            if d == 0:
+                if not low < a < high:
+                    lo, hi = 1.0, 0.0
+            else:
+                near, far = sorted(((low - a) / d, (high - a) / d))
+                lo, hi = max(lo, near), min(hi, far)
+        if lo < hi:
+            t = (lo + hi) / 2
+            if x0 < ax + t * (bx - ax) < x1 and y0 < ay + t * (by - ay) < y1:
+                return True
+    return False
+
+
+def holds(rings: Iterable[Ring], x: float, y: float) -> bool:
+    """What ``inside`` says, of one point."""
+    odd = False
+    for ring in rings:
+        points = list(ring)
+        for (x0, y0), (x1, y1) in zip(points, points[1:] + points[:1], strict=True):
+            if (y < y0) != (y < y1) and x < x0 + (y - y0) * (x1 - x0) / (y1 - y0):
+                odd = not odd
+    return odd
+
+
 @dataclass(frozen=True)
 class GeoBox:
     """A raster of width by height pixels; a pixel's centre is at (c + a * (x + 1/2), f + e * (y + 1/2))."""

@@ -4,29 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chronopix.model import ConfigurationError, Measurement
-from chronopix.operators.base import PROVENANCE, Statistic, need, observation, statistic
+from chronopix.model import ORDER, SOURCE, TIME, ConfigurationError, Measurement
+from chronopix.operators.base import PROVENANCE, Kernel, Statistic, need, statistic
+from chronopix.operators.geomedian import BLOCK, _blocks
 from chronopix.operators.percentile import complete
 
 #: Decimals of a sum of distances: sums that differ by less tie, and ties go to the earliest observation.
 DECIMALS = 9
 
 
-def medoid(observations: Column, bands: Sequence[str]) -> Column:
-    """The medoid of an array of structs with the bands as fields v0, v1, ... and t, o; NULL of an empty array."""
-
-    def apart(x: Column, y: Column) -> Column:
-        total = F.lit(0.0)
-        for i in range(len(bands)):
-            d = x[f"v{i}"] - y[f"v{i}"]
-            total = total + d * d
-        return F.sqrt(total)
-
-    far = lambda x: F.aggregate(observations, F.lit(0.0), lambda s, y: s + apart(x, y))
-    return F.array_min(F.transform(observations, lambda x: F.struct(F.round(far(x), DECIMALS).alias("d"), x["t"].alias("t"), x["o"].alias("o"), x.alias("x"))))["x"]
+def totals(x: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """For x (n, time, bands), whose rows count where valid (n, time), the sum of each row's distances to the others; infinite where it doesn't count. So many rows at once as BLOCK allows."""
+    n, depth, bands = x.shape
+    out = np.empty((n, depth))
+    some = max(1, BLOCK // max(1, n * depth))
+    for a in range(0, depth, some):
+        square = np.zeros((n, min(some, depth - a), depth))
+        for k in range(bands):
+            square += (x[:, a : a + some, None, k] - x[:, None, :, k]) ** 2
+        out[:, a : a + some] = np.where(valid[:, None, :], np.sqrt(square), 0.0).sum(axis=2)
+    return np.where(valid, np.round(out, DECIMALS), np.inf)
+
+
+def best(column: pa.Array, bands: int) -> np.ndarray:
+    """The place, among all observations of the column's lists of structs (v0, ..., t, o), of each list's medoid; -1 for an empty list."""
+    flat, starts = column.flatten(), np.diff(column.offsets.to_numpy()).cumsum() - np.diff(column.offsets.to_numpy())
+    out = np.full(len(column), -1)
+    if not len(flat):
+        return out
+    order = np.empty(len(flat), np.int64)
+    t, o = flat.field("t").cast(pa.int64()).to_numpy(zero_copy_only=False), flat.field("o").to_numpy(zero_copy_only=False)
+    order[np.lexsort((o, t))] = np.arange(len(flat))
+    for rows, x, valid in _blocks(column, bands):
+        d = totals(x, valid)
+        places = np.minimum(starts[rows][:, None] + np.arange(x.shape[1])[None, :], len(flat) - 1)
+        earliest = np.where(d == d.min(axis=1, keepdims=True), order[places], len(flat)).argmin(axis=1)
+        out[rows] = np.where(valid.any(axis=1), starts[rows] + earliest, -1)
+    return out
 
 
 @statistic("medoid")
@@ -55,15 +74,26 @@ class Medoid(Statistic):
         whole = F.lit(True)
         for m in compared:
             whole = whole & F.col(f"`{m.name}`").isNotNull()
-        fields = {f"v{i}": F.col(f"`{m.name}`").cast("double") for i, m in enumerate(compared)} | {f"k{i}": F.col(f"`{m.name}`") for i, m in enumerate(kept)}
-        return {"obs": F.collect_list(F.when(whole, observation(**fields)))} | ({"complete": complete(compared)} if self.least else {})
+        fields = {f"v{i}": F.col(f"`{m.name}`").cast("double") for i, m in enumerate(compared)} | {f"k{i}": F.col(f"`{m.name}`").cast(m.spark_type) for i, m in enumerate(kept)}
+        fields |= {"t": F.col(TIME), "o": F.col(ORDER).cast("bigint"), "s": F.col(SOURCE).cast("byte")}
+        return {"obs": F.collect_list(F.when(whole, F.struct(*[c.alias(n) for n, c in fields.items()])))} | ({"complete": complete(compared)} if self.least else {})
 
     def outputs(self, inputs: Sequence[Measurement], a: Callable[[str], Column]) -> dict[str, Column]:
+        kept = self._bands(inputs)[1]
+        chosen = F.struct(*[a(n).alias(n) for n in [*[f"k{i}" for i in range(len(kept))], "t", "o", "s"]])
+        chosen = F.when(a("t").isNotNull() & (a("complete") >= self.least if self.least else F.lit(True)), chosen)
+        return {m.name: chosen[f"k{i}"] for i, m in enumerate(kept)} | {PROVENANCE[x][0]: PROVENANCE[x][3](chosen) for x in self.extra}
+
+    def kernel(self, inputs: Sequence[Measurement]) -> Kernel:
         compared, kept = self._bands(inputs)
-        best = medoid(a("obs"), [m.name for m in compared])
-        if self.least:
-            best = F.when(a("complete") >= self.least, best)
-        return {m.name: best[f"k{i}"] for i, m in enumerate(kept)} | {PROVENANCE[x][0]: PROVENANCE[x][3](best) for x in self.extra}
+        names, bands = [*[f"k{i}" for i in range(len(kept))], "t", "o", "s"], len(compared)
+
+        def run(column: pa.Array) -> list[pa.Array]:
+            at, flat = best(column, bands), column.flatten()
+            return [flat.field(n).take(pa.array(at, pa.int64(), mask=at < 0)) for n in names]
+
+        kinds = [m.spark_type.simpleString() for m in kept]
+        return Kernel("obs", dict(zip(names, [*kinds, "timestamp_ntz", "bigint", "tinyint"], strict=True)), run)
 
 
 @statistic("medoid_no_prov")

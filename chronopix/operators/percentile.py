@@ -12,9 +12,9 @@ from chronopix.model import ConfigurationError, Measurement
 from chronopix.operators.base import PROVENANCE, Statistic, observation, statistic
 
 
-def ranked(band: Column) -> Column:
-    """The valid observations of a band in order of value, then time."""
-    return F.array_sort(F.collect_list(F.when(band.isNotNull(), observation(v=band))))
+def ranked(band: Column, whence: bool = True) -> Column:
+    """The valid observations of a band in order of value, then time; or (whence false) the values alone."""
+    return F.array_sort(F.collect_list(F.when(band.isNotNull(), observation(v=band)) if whence else band))
 
 
 def nearest(sorted_array: Column, q: float) -> Column:
@@ -60,7 +60,7 @@ class Percentile(Statistic):
         return out
 
     def aggregates(self, inputs: Sequence[Measurement]) -> dict[str, Column]:
-        out: dict[str, Column] = {f"{m.name}_sorted": ranked(F.col(f"`{m.name}`")) for m in inputs}
+        out: dict[str, Column] = {f"{m.name}_sorted": ranked(F.col(f"`{m.name}`"), bool(self.extra)) for m in inputs}
         return out | ({"complete": complete(inputs)} if self.least else {})
 
     def outputs(self, inputs: Sequence[Measurement], a: Callable[[str], Column]) -> dict[str, Column]:
@@ -70,7 +70,8 @@ class Percentile(Statistic):
         for m in inputs:
             for q in self.qs:
                 o, name = nearest(a(f"{m.name}_sorted"), q), self.label(m.name, q)
-                out[name] = F.when(short, mark).otherwise(o["v"]) if self.least else o["v"]
+                v = o["v"] if self.extra else o
+                out[name] = F.when(short, mark).otherwise(v) if self.least else v
                 for x in self.extra:
                     suffix, _, _, column = PROVENANCE[x]
                     out[f"{name}_{suffix}"] = F.when(~short, column(o)) if self.least else column(o)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from chronopix.operators.algebraic import Latest, LogicalAnd, LogicalOr, Oldest,
 from chronopix.operators.base import reduce_frame
 from chronopix.operators.geomedian import GeometricMedian, SpectralMAD
 from chronopix.plans.epochs import assign, epochs_of
-from chronopix.plans.job import Job
+from chronopix.plans.job import GROUP, Job
 from chronopix.sinks.output import cast_back, unpivot
 from chronopix.sources import catalog as S
 
@@ -53,7 +54,8 @@ def _grouped(select: str, dates: dict | Sequence[Epoch] = YEARLY, where: str = "
 
 
 def _config(statistic: str, bands: Sequence[str], args: dict | None = None, dates: dict = YEARLY, product: str = "obs", region: dict | None = None, **source) -> dict:
-    out = {"sources": [{"product": product, "measurements": list(bands), **source}], "date_ranges": dates, "output_products": [{"name": "out", "statistic": statistic, "statistic_args": args or {}}]}
+    # An order line is a scene of its own here, so scenes of one instant are not fused unless a query says so.
+    out = {"sources": [{"product": product, "measurements": list(bands), "group_by": None, **source}], "date_ranges": dates, "output_products": [{"name": "out", "statistic": statistic, "statistic_args": args or {}}]}
     return out | ({"input_region": region} if region else {})
 
 
@@ -152,7 +154,7 @@ add("percentile_no_prov", _job("percentile_no_prov", ["green", "nir"], {"q": 25}
 _FULL = "count(*) FILTER (green IS NOT NULL AND red IS NOT NULL)"
 add("percentile_min_valid", _job("percentile", ["green", "red"], {"q": 50, "minimum_valid_observations": 4}), _grouped(", ".join(f"CASE WHEN NOT ({_FULL} > 0 AND {_FULL} < 4) THEN {_pc(b, 50)} END AS {b}_PC_50" for b in ("green", "red"))))
 add("percentile_not_valid_mark", _job("percentile", ["green", "red"], {"q": 50, "minimum_valid_observations": 4, "not_valid_mark": -7.0}), _grouped(", ".join(f"CASE WHEN NOT ({_FULL} > 0 AND {_FULL} < 4) THEN {_pc(b, 50)} ELSE -7 END AS {b}_PC_50" for b in ("green", "red"))))
-_three = [{"product": f"obs_{f}", "measurements": ["red"]} for f in "ANR"]
+_three = [{"product": f"obs_{f}", "measurements": ["red"], "group_by": None} for f in "ANR"]
 
 
 def _provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,7 +243,7 @@ add(
     f"{_with()} SELECT y, x, epoch_id, t AS time, o AS ord, CAST({_inside_sql(_TRIANGLE)} AND blue > 10 AS SMALLINT) AS extent, CAST(CASE WHEN NOT {_inside_sql(_TRIANGLE)} THEN 0 WHEN blue > 40 THEN 3 WHEN blue > 25 THEN 2 WHEN blue > 10 THEN 1 ELSE 0 END AS SMALLINT) AS canopy_cover_class FROM oe",
 )
 _MEAN = "round(avg(blue), 6) AS blue"
-add("polygon_mask", _job("simple", ["blue"], region={"geometry": {"type": "Polygon", "coordinates": [[*map(list, _TRIANGLE), list(_TRIANGLE[0])]]}}), _grouped(_MEAN, where=f"WHERE {_inside_sql(_TRIANGLE)}"))
+add("polygon_mask", lambda s, d: _job("simple", ["blue"], region={"gridded": False, "geometry": {"type": "Polygon", "coordinates": [[*map(list, _TRIANGLE), list(_TRIANGLE[0])]]}})(s, d).drop("feature_id"), _grouped(_MEAN, where=f"WHERE {_inside_sql(_TRIANGLE)}"))
 add("bbox_region", _job("simple", ["blue"], region={"x": [10, 20], "y": [0, 2]}), _grouped(_MEAN, where="WHERE x + 0.5 BETWEEN 10 AND 20 AND y + 0.5 BETWEEN 0 AND 2"))
 add("tile_list", _job("simple", ["blue"], region={"tiles": [[0, 0], [3, 0]]}), _grouped(_MEAN, where="WHERE (x // 10, y // 10) IN ((0, 0), (3, 0))"))
 add("grid_cells", lambda s, d: assign(X.cube(s, d), epochs_of(WHOLE)).groupBy("tile_x", "tile_y").agg(F.count("*").alias("n"), F.count_distinct("y", "x").alias("pixels")), f"{_with(WHOLE)} SELECT CAST(x // 10 AS INTEGER) AS tile_x, CAST(y // 10 AS INTEGER) AS tile_y, count(*) AS n, count(DISTINCT (y, x)) AS pixels FROM oe GROUP BY 1, 2")
@@ -258,6 +260,29 @@ def _feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 add("feature_stats", _feature_stats, f"WITH {_OBS} SELECT feature_id, count(*) AS n, count(DISTINCT (y, x)) AS pixels FROM (SELECT 0 AS feature_id, y, x FROM obs WHERE {_inside_sql(_TRIANGLE)} UNION ALL SELECT 1, y, x FROM obs WHERE {_inside_sql(_SQUARE)}) GROUP BY 1")
 
+#: Two features that overlap: an L (1) and a triangle (2).
+FEATURES = Path(__file__).parent / "features.json"
+_ELL, _WEDGE = [(2.2, 0.3), (28.1, 0.31), (28.2, 2.4), (8.3, 2.41), (8.31, 38.2), (2.21, 38.3)], [(5.3, 0.2), (40.2, 1.3), (6.4, 30.1)]
+add(
+    "feature_id_polygon",
+    _job("simple", ["blue"], region={"from_file": str(FEATURES), "feature_id": [1, 2]}),
+    f"{_with()} SELECT y, x, epoch_id, feature_id, {_MEAN} FROM (SELECT *, CAST(1 AS BIGINT) AS feature_id FROM oe WHERE {_inside_sql(_ELL)} UNION ALL SELECT *, 2 FROM oe WHERE {_inside_sql(_WEDGE)}) GROUP BY y, x, epoch_id, feature_id",
+)
+
+
+def _tiles(region: dict) -> Q:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        job = Job.from_config(_config("simple", ["blue"], region=region) | {"storage": {"tile_size": [10, 10]}}, X.catalog(spark, sf_dir))
+        return _rounded(job.run(spark)["out"].drop("tile_x", "tile_y", "epoch_start", "epoch_end"))
+
+    return run
+
+
+_ELL_SHAPE = {"type": "Polygon", "coordinates": [[*map(list, _ELL), list(_ELL[0])]]}
+add("geometry_tiles", _tiles({"geometry": _ELL_SHAPE}), _grouped(_MEAN, where="WHERE (y < 10 AND x < 30) OR (x < 10 AND y < 40)"))
+add("geometry_among_tiles", _tiles({"geometry": _ELL_SHAPE, "tiles": [[1, 0], [4, 0], [2, 0]]}), _grouped(_MEAN, where="WHERE y < 10 AND x >= 10 AND x < 30"))
+add("file_hull_tiles", _tiles({"from_file": str(FEATURES)}), _grouped(_MEAN, where="WHERE x < 50 AND y < 40 AND (y // 10, x // 10) IN ((0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (1, 0), (1, 1), (1, 2), (1, 3), (2, 0), (2, 1), (2, 2), (3, 0), (3, 1))"))
+
 # Masks
 _ORDER = "JOIN orders ON l_orderkey = o_orderkey"
 
@@ -294,24 +319,48 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("source_union_tagged", _tagged, f"{_with()} SELECT src AS source, epoch_id, count(*) AS n, count(red) AS valid, count(DISTINCT (y, x)) AS pixels FROM oe GROUP BY 1, 2")
-_windows = [{"product": "obs_A", "measurements": ["blue"], "time": ["1996-03-01", "1999-06-30"]}, {"product": "obs_N", "measurements": ["blue"]}, {"product": "obs_R", "measurements": ["blue"], "time": ["1980-01-01", "1990-01-01"]}]
+_windows = [{"product": "obs_A", "measurements": ["blue"], "group_by": None, "time": ["1996-03-01", "1999-06-30"]}, {"product": "obs_N", "measurements": ["blue"], "group_by": None}, {"product": "obs_R", "measurements": ["blue"], "group_by": None, "time": ["1980-01-01", "1990-01-01"]}]
 add("source_time_window", _sources(_windows, "simple", {"reduction_function": "mean"}), _grouped(_MEAN, where="WHERE src = 1 OR (src = 0 AND t BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1999-06-30')"))
 add("source_filter_semijoin", _job("simple", ["blue"], source_filter={"product": "scenes", "quality": [0.0, 5000.0]}), _grouped(_MEAN, where="WHERE l_orderkey IN (SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal BETWEEN 0 AND 5000)"))
 
 
 def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = X.cube(spark, sf_dir).withColumn("red", F.nullif("red", F.lit(0.0))).withColumn("lon", F.col("x") * 3.0)
-    out = S.fuse(obs.select(*S.KEYS, "red", "nir", "lon"), ["red", "nir"], S.solar_day(F.col("time"), F.col("lon")))
-    return out.select("y", "x", "time", "ord", "red", "nir")
+    return _job("none", ["red", "raw_nir"], dates=WHOLE, group_by="solar_day")(spark, sf_dir).select("y", "x", "time", "ord", "red", F.col("raw_nir").alias("nir"))
 
 
 add("solar_day_group_fuse_first", _fused, f"WITH {_OBS}, g AS (SELECT *, CAST(t + to_seconds(CAST(x * 3 * 240 AS BIGINT)) AS DATE) AS day FROM obs) SELECT y, x, min(struct_pack(t := t, o := o))['t'] AS time, min(struct_pack(t := t, o := o))['o'] AS ord, arg_min(red, struct_pack(t := t, o := o)) FILTER (red IS NOT NULL) AS red, arg_min(coalesce(nir, 0), struct_pack(t := t, o := o)) AS nir FROM g GROUP BY y, x, day")
 add(
     "wofs_fuse",
-    lambda s, d: S.fuse(X.cube(s, d).select(*S.KEYS, "water"), ["water"], F.col("time").cast("date"), S.water_fuse).select("y", "x", _day().alias("day"), "water"),
+    lambda s, d: _job("none", ["water"], dates=WHOLE, product="obs_utc", group_by="solar_day", fuse_func="datacube.wofs_fuser")(s, d).select("y", "x", _day().alias("day"), "water"),
     f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS day, coalesce(arg_max(water, struct_pack(t := t, o := o)) FILTER ((water & 2) = 0), arg_min(water, struct_pack(t := t, o := o))) AS water FROM obs GROUP BY ALL",
 )
 
+
+def _steps_sql(step: str, bands: dict[str, str], select: str, more: str = "") -> str:
+    """Steps of each pixel, their time that of the first scene, joined to the yearly epochs."""
+    at = "struct_pack(t := t, o := o)"
+    each = ", ".join(f"{e.format(at=at)} AS {b}" for b, e in bands.items())
+    return f"WITH {_OBS}, {_epochs_sql(YEARLY)}, g AS (SELECT y, x, {step} AS step, min(t) AS t, {each} FROM obs {more} GROUP BY y, x, step), ge AS (SELECT g.*, epoch_id FROM g JOIN ep ON t BETWEEN s AND e) SELECT y, x, epoch_id, {select} FROM ge GROUP BY y, x, epoch_id"
+
+
+_FIRST_RED, _FIRST_GREEN, _FIRST_PQ = "arg_min(red, {at}) FILTER (red IS NOT NULL)", "arg_min(green, {at})", "arg_min(pq, {at})"
+_SOLAR = "CAST(t + to_seconds(CAST(x * 3 * 240 AS BIGINT)) AS DATE)"
+add(
+    "group_by_time_default",
+    lambda s, d: _outputs({"mean": ("simple", {}), "count": ("simple", {"reduction_function": "count"})}, [{"product": "obs", "measurements": ["red", "green"]}])(s, d),
+    _steps_sql("t", {"red": _FIRST_RED, "green": _FIRST_GREEN}, "round(avg(red), 6) AS mean_red, round(avg(green), 6) AS mean_green, count(red) AS count_red, count(green) AS count_green"),
+)
+add(
+    "solar_day_masked",
+    _job("simple", ["red", "green"], group_by="solar_day", masks=[{"product": "obs", "measurement": "pq", "flags": {"cloud": "no_cloud"}}, {"product": "order_mask", "measurement": "level", "greater_than": 100000.0}]),
+    _steps_sql(_SOLAR, {"red": _FIRST_RED, "green": _FIRST_GREEN, "pq": _FIRST_PQ, "level": "arg_min(o_totalprice, {at})"}, "round(avg(CASE WHEN (pq & 2) = 0 AND level > 100000 THEN red END), 6) AS red, round(avg(CASE WHEN (pq & 2) = 0 AND level > 100000 THEN green END), 6) AS green", "JOIN orders ON l_orderkey = o_orderkey"),
+)
+add(
+    "mask_fused",
+    _job("simple", ["green"], group_by="solar_day", masks=[{"product": "obs", "measurement": "pq", "flags": {"contiguous": True}, "fuse_func": "wofs_fuser"}]),
+    _steps_sql(_SOLAR, {"green": _FIRST_GREEN, "pq": "coalesce(arg_max(pq, {at}) FILTER ((pq & 2) = 0), arg_min(pq, {at}))"}, "round(avg(CASE WHEN (pq & 1) = 1 THEN green END), 6) AS green"),
+)
+
 # Alignment
 _SCENES = "sc AS (SELECT DISTINCT src, CAST(x // 10 AS INTEGER) AS tile_x, CAST(y // 10 AS INTEGER) AS tile_y, t FROM obs)"
 
@@ -426,10 +475,22 @@ add("date_columns", lambda s, d: X.cube(s, d).select("y", "x", "ord", scalars.da
 add("external_count_wet", _job("external", ["water"], {"impl": "chronopix.contrib.CountWet"}), _grouped("count(*) FILTER (water = 128) AS wet"))
 
 
+def _outputs(products: dict[str, tuple[str, dict]], sources: list[dict], dates: dict = YEARLY) -> Q:
+    """A job of several outputs, side by side."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = {"sources": sources, "date_ranges": dates, "output_products": [{"name": n, "statistic": k, "statistic_args": a} for n, (k, a) in products.items()]}
+        keys, out = ["y", "x", "epoch_id"], None
+        for name, df in Job.from_config(cfg, X.catalog(spark, sf_dir)).run(spark).items():
+            df = df.select(*keys, *[F.col(f"`{c}`").alias(f"{name}_{c}") for c in df.columns if c not in GROUP])
+            out = df if out is None else out.join(df, keys)
+        return _rounded(out)
+
+    return run
+
+
 def _multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _config("simple", ["blue", "red"]) | {"output_products": [{"name": "mean", "statistic": "simple"}, {"name": "p", "statistic": "percentile", "statistic_args": {"q": 50}}, {"name": "last", "statistic": "latest"}]}
-    job = Job.from_config(cfg, X.catalog(spark, sf_dir))
-    return _rounded(reduce_frame(job.observations(), ("y", "x", "epoch_id"), [(f"{n}_", o.statistic, job.inputs) for n, o in job.outputs.items()]))
+    return _outputs({"mean": ("simple", {}), "p": ("percentile", {"q": 50}), "last": ("latest", {})}, [{"product": "obs", "measurements": ["blue", "red"], "group_by": None}])(spark, sf_dir)
 
 
 add("multi_output_job", _multi, _grouped("round(avg(blue), 6) AS mean_blue, round(avg(red), 6) AS mean_red, " + f"{_pc('blue', 50)} AS p_blue_PC_50, {_pc('red', 50)} AS p_red_PC_50, arg_max(blue, struct_pack(t := t, o := o)) AS last_blue, arg_max(red, struct_pack(t := t, o := o)) FILTER (red IS NOT NULL) AS last_red"))

@@ -18,12 +18,22 @@ KEYS = (*TILE, *PIXEL, TIME, ORDER)
 
 @dataclass(frozen=True)
 class Product:
-    """A named table of observations: tile_x, tile_y, y, x, time, ord, its bands, and any columns that scenes are searched by."""
+    """A named table of observations: tile_x, tile_y, y, x, time, ord, its bands, and any columns that scenes are searched by.
+
+    scenes, if there is such a table, has dataset_id, tile_x, tile_y and time of each scene, so that planning needs no pixels.
+    distinct_times promises that no pixel has two observations of one instant, which spares their fusing.
+    """
 
     name: str
     frame: Callable[[], DataFrame]
     measurements: tuple[Measurement, ...]
     metadata: Mapping[str, Any] = field(default_factory=dict)
+    scenes: Callable[[], DataFrame] | None = None
+    distinct_times: bool = False
+
+    def times(self) -> DataFrame:
+        """tile_x, tile_y, time of the scenes, or of the observations where there is no table of scenes."""
+        return (self.scenes or self.frame)().select(*TILE, TIME)
 
     def measurement(self, name: str) -> Measurement:
         for m in self.measurements:
@@ -36,19 +46,29 @@ class Catalog:
     def __init__(self, products: Sequence[Product] = ()):
         self.products = {p.name: p for p in products}
 
-    def register(self, name: str, frame: DataFrame | Callable[[], DataFrame], measurements: Sequence[Measurement], **metadata: Any) -> Product:
-        self.products[name] = Product(name, frame if callable(frame) else lambda: frame, tuple(measurements), metadata)
+    def register(self, name: str, frame: DataFrame | Callable[[], DataFrame], measurements: Sequence[Measurement], scenes: DataFrame | Callable[[], DataFrame] | None = None, distinct_times: bool = False, **metadata: Any) -> Product:
+        own = lambda f: f if f is None or callable(f) else lambda: f
+        self.products[name] = Product(name, own(frame), tuple(measurements), metadata, own(scenes), distinct_times)
         return self.products[name]
 
+    @classmethod
+    def of_files(cls, spark: SparkSession, products: Mapping[str, Mapping[str, Any]]) -> Catalog:
+        """Products from {name: {path, measurements, and maybe scenes (a path) and distinct_times}}; unreadable files are left out."""
+        out = cls()
+        for name, p in products.items():
+            read = lambda path: lambda: scan(spark, path)
+            out.register(name, read(p["path"]), [Measurement(**m) for m in p["measurements"]], read(p["scenes"]) if p.get("scenes") else None, bool(p.get("distinct_times")))
+        return out
+
     def __getitem__(self, name: str) -> Product:
         if name not in self.products:
             raise ConfigurationError(f"unknown product {name!r}; known: {', '.join(sorted(self.products))}")
         return self.products[name]
 
 
-def scan(spark: SparkSession, path: str, bands: Sequence[str], keys: Sequence[str] = KEYS, skip_broken: bool = True) -> DataFrame:
-    """A Parquet product's keys and bands; unreadable files are left out unless skip_broken is false."""
-    return spark.read.option("ignoreCorruptFiles", str(skip_broken).lower()).parquet(path).select(*keys, *bands)
+def scan(spark: SparkSession, path: str, skip_broken: bool = True) -> DataFrame:
+    """A Parquet product; unreadable files are left out unless skip_broken is false."""
+    return spark.read.option("ignoreCorruptFiles", str(skip_broken).lower()).parquet(path)
 
 
 def union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -98,9 +118,17 @@ def fuse_of(name: str | None) -> Callable[[Column, Column], Column]:
         raise ConfigurationError(f"fuse_func {name!r} cannot be found") from e
 
 
-def fuse(df: DataFrame, bands: Sequence[str], group: Column | None = None, how: Callable[[Column, Column], Column] = first_valid, keys: Sequence[str] = (*TILE, *PIXEL)) -> DataFrame:
-    """One row per pixel and time step (time, or the group), each band fused over the step's scenes in (time, ord) order; time and ord are the first scene's."""
+def fuse_steps(df: DataFrame, hows: Mapping[str, Callable[[Column, Column], Column]], step: Column, keys: Sequence[str] = (*TILE, *PIXEL)) -> DataFrame:
+    """keys, _step, time, ord and bands: one row per pixel and step, each band fused by its own rule over the step's scenes in (time, ord) order; time and ord are the first scene's.
+
+    Rows are dealt out by pixel, so that what groups by pixel and more later on, a mask join or the statistics, needs no other shuffle.
+    """
     order = F.struct(F.col(TIME).alias("t"), F.col(ORDER).alias("i"))
-    step = (F.col(TIME) if group is None else group).alias("_step")
-    out = df.select(*keys, TIME, ORDER, *bands, step).groupBy(*keys, "_step").agg(F.min(order).alias("_at"), *[how(F.col(f"`{b}`"), order).alias(b) for b in bands])
-    return out.select(*keys, F.col("_at.t").alias(TIME), F.col("_at.i").alias(ORDER), *bands)
+    rows = df.select(*keys, TIME, ORDER, *[F.col(f"`{b}`") for b in hows], step.alias("_step")).repartition(*keys)
+    out = rows.groupBy(*keys, "_step").agg(F.min(order).alias("_at"), *[how(F.col(f"`{b}`"), order).alias(b) for b, how in hows.items()])
+    return out.select(*keys, "_step", F.col("_at.t").alias(TIME), F.col("_at.i").alias(ORDER), *[F.col(f"`{b}`") for b in hows])
+
+
+def fuse(df: DataFrame, bands: Sequence[str], group: Column | None = None, how: Callable[[Column, Column], Column] = first_valid, keys: Sequence[str] = (*TILE, *PIXEL)) -> DataFrame:
+    """fuse_steps with one rule, by time or by the group, without the step."""
+    return fuse_steps(df, dict.fromkeys(bands, how), F.col(TIME) if group is None else group, keys).drop("_step")

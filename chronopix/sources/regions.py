@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.functions.geometry import GeoBox, Ring, hull, inside
+from chronopix.functions.geometry import GridSpec, hull, inside
 from chronopix.model import ConfigurationError
 
 #: Tiles that a list may have and still be sent to the executors.
@@ -60,32 +60,60 @@ def in_tiles(df: DataFrame, tiles: Sequence[tuple[int, int]]) -> DataFrame:
     return df.join(F.broadcast(t) if len(tiles) <= BROADCAST_TILES else t, ["tile_x", "tile_y"], "left_semi")
 
 
-def in_rings(df: DataFrame, rings: Sequence[Ring], box: GeoBox | None = None) -> DataFrame:
-    """Rows whose pixel centre is inside; a box of the rings comes first, which reaches the scan."""
-    x, y = (F.col("x").cast("double"), F.col("y").cast("double")) if box is None else (F.col("x"), F.col("y"))
-    cx, cy = (x + 0.5, y + 0.5) if box is None else box.centre(x, y)
-    xs, ys = [p[0] for r in rings for p in r], [p[1] for r in rings for p in r]
-    if box is None:
-        df = df.where(F.col("x").between(int(min(xs)) - 1, int(max(xs)) + 1) & F.col("y").between(int(min(ys)) - 1, int(max(ys)) + 1))
-    return df.where(inside(cx, cy, rings))
+def _file(region: Mapping[str, Any]) -> list[dict]:
+    with open(region["from_file"], encoding="utf-8") as f:
+        features = read_features(f.read(), region.get("feature_id"))
+    if not features:
+        raise ConfigurationError("no such features")
+    return features
 
 
-def limit(df: DataFrame, region: Mapping[str, Any] | None) -> DataFrame:
-    """input_region: tile, tiles, geometry, from_file (with feature_id), or ranges of x and y (or longitude and latitude); none is everywhere. Coordinates are those of pixel centres (x + 1/2, y + 1/2)."""
+def features_of(region: Mapping[str, Any] | None) -> list[dict]:
+    """The features whose pixels are wanted, each with results of its own; none where whole tiles or a box are.
+
+    They come from a file if feature_id is given or gridded is false, or from a geometry if gridded is false.
+    """
+    region = region or {}
+    if "geometry" in region:
+        return read_features(json.dumps(region["geometry"])) if region.get("gridded") is False else []
+    if "tile" in region or "tiles" in region or "from_file" not in region:
+        return []
+    return _file(region) if "feature_id" in region or region.get("gridded") is False else []
+
+
+def in_features(df: DataFrame, features: Sequence[Mapping[str, Any]]) -> DataFrame:
+    """Rows with the feature_id of each feature that holds their pixel's centre, once for each."""
+    ids = [f["feature_id"] for f in features]
+    kind = "bigint" if all(isinstance(i, int) for i in ids) else "string"
+    every = [F.when(inside(F.col("x") + 0.5, F.col("y") + 0.5, f["rings"]), F.lit(i).cast(kind)) for i, f in zip(ids, features, strict=True)]
+    return df.withColumn("feature_id", F.explode(F.array_compact(F.array(*every))))
+
+
+def limit(df: DataFrame, region: Mapping[str, Any] | None, grid: GridSpec | None = None) -> DataFrame:
+    """input_region: tile; tiles; geometry, which is the whole tiles it touches, of the listed ones if tiles are given too; from_file, which is
+    the whole tiles that its features' convex hull touches, or the features' pixels; ranges of x and y (or longitude and latitude). None is everywhere.
+
+    Coordinates are those of pixel centres (x + 1/2, y + 1/2). Whole tiles need the grid, which a configuration's storage.tile_size gives.
+    """
     if not region:
         return df
-    if "tile" in region:
-        return in_tiles(df, [tuple(region["tile"])])
-    if "tiles" in region:
-        return in_tiles(df, [tuple(t) for t in region["tiles"]])
-    if "geometry" in region:
-        return in_rings(df, read_features(json.dumps(region["geometry"]))[0]["rings"])
-    if "from_file" in region:
-        with open(region["from_file"], encoding="utf-8") as f:
-            features = read_features(f.read(), region.get("feature_id"))
-        if not features:
-            raise ConfigurationError("no such features")
-        return in_rings(df, [r for f in features for r in f["rings"]]) if region.get("gridded") is False else in_rings(df, [boundary(features)])
+    tiles = [tuple(t) for t in region.get("tiles") or ([region["tile"]] if "tile" in region and "geometry" not in region else [])]
+    if features := features_of(region):
+        boxed = [p for f in features for r in f["rings"] for p in r]
+        low, high = [min(p[i] for p in boxed) for i in (0, 1)], [max(p[i] for p in boxed) for i in (0, 1)]
+        df = df.where(F.col("x").between(int(low[0]) - 1, int(high[0]) + 1) & F.col("y").between(int(low[1]) - 1, int(high[1]) + 1))
+        hit = F.lit(False)
+        for f in features:
+            hit = hit | inside(F.col("x") + 0.5, F.col("y") + 0.5, f["rings"])
+        return df.where(hit)
+    if "geometry" in region or "from_file" in region and not tiles:
+        rings = read_features(json.dumps(region["geometry"]))[0]["rings"] if "geometry" in region else [boundary(_file(region))]
+        if grid is None:
+            raise ConfigurationError("a region of whole tiles needs storage.tile_size")
+        cells = grid.touching(rings)
+        return in_tiles(df, [c for c in cells if c in tiles] if tiles else cells)
+    if tiles:
+        return in_tiles(df, tiles)
     x, y = region.get("x", region.get("longitude")), region.get("y", region.get("latitude"))
     if x is None or y is None:
         raise ConfigurationError(f"unknown input_region {sorted(region)}")
