@@ -44,11 +44,6 @@ def combination(bands: Sequence[Column], weights: Sequence[float]) -> Column:
     return reduce(lambda x, y: x + y, [b * F.lit(float(w)) for b, w in zip(bands, weights, strict=True)])
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Euclidean distance of two arrays of doubles."""
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v))
-
-
 def product(values: Sequence[int]) -> int:
     return math.prod(values)
 
@@ -65,7 +60,3 @@ def format_seconds(s: float) -> str:
     m, s = divmod(s, 60)
     h, m = divmod(int(m), 60)
     return f"{h}:{m:02d}:{s:04.1f}"
-
-
-def iso_seconds(time: Column) -> Column:
-    return F.date_trunc("second", time)

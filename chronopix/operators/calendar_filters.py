@@ -104,6 +104,8 @@ def _compose_tide(df: DataFrame, args: Mapping[str, Any], context: Mapping[str,
     if kind not in ("low", "high"):
         raise ValueError(f"type must be low or high: {kind!r}")
     out = low_high.where(F.col("kind") == kind)
+    if "epoch" in context:  # heights are of all times, but only those of the first epoch are wanted
+        out = in_windows(out, [context["epoch"]])
     if args.get("sub_class"):
         if args["sub_class"] not in ("e", "f", "ph", "pl"):
             raise ValueError(f"unknown sub_class {args['sub_class']!r}")
@@ -120,19 +122,26 @@ METHODS: dict[str, Callable[[DataFrame, Mapping[str, Any], Mapping[str, Any]], D
 
 
 def filter_product(df: DataFrame, spec: Mapping[str, Any] | None, context: Mapping[str, Any]) -> DataFrame:
-    """filter_product of a configuration; context has the feature's properties and its table of tides."""
+    """filter_product of a configuration; context has the feature's properties, its table of tides (time, height, and for a sub_class the heights before and after) and maybe the first epoch."""
     if not spec:
         return df
     if spec["method"] not in METHODS:
         raise ValueError(f"unknown method {spec['method']!r}; known: {', '.join(METHODS)}")
+    needs = "properties" if spec["method"] == "by_hydrological_months" else "tides"
+    if needs not in context:
+        raise ConfigurationError(f"{spec['method']} needs {'a feature' if needs == 'properties' else 'a table of tides'}")
     return METHODS[spec["method"]](df, spec.get("args") or {}, context)
 
 
-def part_name(feature_id: Any, lon: float, lat: float, args: Mapping[str, Any], years: Sequence[int] = ()) -> str:
-    """The part of file names that a filter gives: id, place, percent or years, behind its sub-class."""
-    name = f"{feature_id}_{lon:.2f}_{lat:.2f}"
+def part_name(feature: Mapping[str, Any], spec: Mapping[str, Any] | None) -> tuple[str, str]:
+    """What stands for x and y in the file names of a feature's outputs: by a tide's phase, by its dry or wet years, by its percentage; without a filter its id and place."""
+    props, args = feature["properties"], (spec or {}).get("args") or {}
+    lon, lat = str(props.get("lon")), str(props.get("lat"))
+    if args.get("sub_class"):
+        return f"{args['sub_class'].upper()}_{lon}", lat
+    if (spec or {}).get("method") == "by_hydrological_months":
+        mark = "DY" if args.get("type", "dry") == "dry" else "WY"
+        return str(feature["feature_id"]), "_".join(str(v) for k, v in props.items() if mark in k.upper())
     if "tide_percent" in args:
-        name = f"{name}_PER_{args['tide_percent']}"
-    if years:
-        name = f"{name}_{'_'.join(map(str, years))}"
-    return f"{args['sub_class']}_{name}" if args.get("sub_class") else name
+        return f"{feature['feature_id']}_{lon}", f"{lat}_PER_{args['tide_percent']}"
+    return str(feature["feature_id"]), ""

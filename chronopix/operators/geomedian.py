@@ -22,8 +22,8 @@ def weiszfeld(x: np.ndarray, valid: np.ndarray, eps: float = 1e-3) -> np.ndarray
 
     Weiszfeld's iteration from the mean, with Vardi and Zhang's correction where the estimate is at an observation. Two things
     spare rounds: an observation that satisfies the condition of the optimum is the answer (tried in rounds 1, 2, 4, ...), and
-    a Newton step is taken in place of Weiszfeld's wherever it leaves a smaller sum of distances. It ends when no estimate
-    moves by eps, or after ROUNDS rounds.
+    a Newton step, or a part of one, is taken in place of Weiszfeld's wherever it leaves a smaller sum of distances. It ends when no
+    estimate moves by eps, or after ROUNDS rounds.
     """
     n = valid.sum(axis=1)
     x = np.where(valid[:, :, None], x, 0.0)
@@ -78,8 +78,20 @@ def _step(x: np.ndarray, valid: np.ndarray, m: np.ndarray) -> np.ndarray:
     smooth = (here == 0) & (total > 0)
     hessian[~smooth] = eye
     newton = m - np.linalg.solve(hessian, gradient[:, :, None])[:, :, 0]
-    sums = [np.where(valid, _distances(x, valid, c)[1], 0.0).sum(axis=1) for c in (newton, new)]
-    return np.where((smooth & (sums[0] < sums[1]))[:, None], newton, new)
+    least = _sums(x, valid, new)
+    left, share = np.nonzero(smooth)[0], 1.0
+    while len(left) and share > 1e-3:  # where a whole Newton step overshoots, as along a line that all but goes through the observations, a part of it may not
+        some = m[left] + share * (newton[left] - m[left])
+        sums = _sums(x[left], valid[left], some)
+        better = sums < least[left]
+        new[left[better]], least[left[better]] = some[better], sums[better]
+        left, share = left[~better], share / 4
+    return new
+
+
+def _sums(x: np.ndarray, valid: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Sums of the distances from m."""
+    return np.where(valid, np.sqrt(((x - m[:, None, :]) ** 2).sum(axis=2)), 0.0).sum(axis=1)
 
 
 def _blocks(column: pa.Array, bands: int):

@@ -130,10 +130,11 @@ class Job:
             empty = self.catalog[self.sources[0]["product"]].frame().where(F.lit(False))
             frames = [S.tag(empty.select(*S.KEYS, *[f"`{m.name}`" for m in self.inputs]), 0)]
         obs, spec = S.union(frames), self.config.get("filter_product")
+        context = ({"epoch": self.epochs[0]} if self.epochs else {}) | self.context
         if not self.features:
-            return assign(filter_product(obs, spec, self.context), self.epochs)
+            return assign(filter_product(obs, spec, context), self.epochs)
         if spec:  # a feature's own properties say what is left of it
-            obs = reduce(DataFrame.unionByName, [filter_product(regions.in_features(obs, [f]), spec, {"properties": f["properties"], **self.context}) for f in self.features])
+            obs = reduce(DataFrame.unionByName, [filter_product(regions.in_features(obs, [f]), spec, {"properties": f["properties"], **context}) for f in self.features])
         else:
             obs = regions.in_features(obs, self.features)
         return assign(obs, self.epochs)

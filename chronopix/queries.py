@@ -207,6 +207,35 @@ add("geomedian_embeddings", _on_vectors(GeometricMedian))
 add("spectral_mad_embeddings", _on_vectors(SpectralMAD))
 add("geomedian_yearly", _job("geomedian", ["blue", "red", "nir"], {"eps": 1e-9}))
 
+def _optimum(df: DataFrame, keys: Sequence[str], bands: Sequence[str], medians: DataFrame) -> DataFrame:
+    """keys, n and whether the median meets the condition of the optimum: the unit vectors to the other observations sum to no more than the number of observations at it.
+
+    Written with column functions alone, nothing of the kernel's.
+    """
+    whole = df.where(" AND ".join(f"{b} IS NOT NULL" for b in bands)).select(*keys, *bands)
+    m = medians.select(*keys, *[F.col(b).alias(f"m_{b}") for b in bands])
+    gap = [F.col(b) - F.col(f"m_{b}") for b in bands]
+    far = F.sqrt(sum((g * g for g in gap[1:]), gap[0] * gap[0]))
+    pull = [F.sum(F.when(F.col("_far") > 1e-9, g / F.col("_far"))).alias(f"_p{i}") for i, g in enumerate(gap)]
+    out = whole.join(m, list(keys)).withColumn("_far", far).groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("_far") <= 1e-9).alias("_here"), *pull)
+    length = F.sqrt(sum((F.coalesce(F.col(f"_p{i}"), F.lit(0.0)) ** 2 for i in range(len(bands))), F.lit(0.0)))
+    return out.select(*keys, "n", (length <= F.col("_here") + F.col("n") * 1e-5 + 1e-6).alias("optimal"))
+
+
+def _yearly_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bands = ["blue", "red", "nir"]
+    job = Job.from_config(_config("geomedian", bands, {"eps": 1e-9}), X.catalog(spark, sf_dir))
+    return _optimum(job.observations(), ["y", "x", "epoch_id"], bands, job.run(spark)["out"])
+
+
+def _embedding_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, bands = _vectors(spark, sf_dir)
+    return _optimum(df, ["label"], [m.name for m in bands], _QUERIES["geomedian_embeddings"](spark, sf_dir))
+
+
+add("geomedian_yearly_optimum", _yearly_optimum, _grouped("count(*) AS n, true AS optimal", where="WHERE blue IS NOT NULL AND red IS NOT NULL AND nir IS NOT NULL"))
+add("geomedian_embeddings_optimum", _embedding_optimum, "SELECT label, count(*) AS n, true AS optimal FROM embeddings WHERE embedding IS NOT NULL GROUP BY label")
+
 # Counters
 _COUNT_VARS = [{"name": "cloudy", "flags": {"cloud": "cloud"}}, {"name": "clear_bright", "flags": {"cloud": "no_cloud", "bright": True, "contiguous": True}, "simple": True}]
 _COUNTS = "count(*) FILTER ((pq & 2) = 2) AS cloudy, count(*) FILTER ((pq & 7) = 5) AS clear_bright"
@@ -408,8 +437,7 @@ def _daily(dates: dict, **config) -> Q:
     return run
 
 
-add("epochs_daily_discovery", _daily({"start_date": "1996-01-01", "end_date": "1996-03-31"}, region={"tiles": [[0, 0], [1, 0]]}), f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs WHERE t BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-03-31' AND x < 20 AND y < 10 GROUP BY ALL")
-add("epochs_daily_discovery_whole", _daily(WHOLE), f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs GROUP BY ALL")
+add("epochs_daily_discovery", _daily(WHOLE), f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS epoch_start, {_MEAN} FROM obs GROUP BY ALL")
 add("year_override", lambda s, d: _job("simple", ["blue"], dates={"start_date": dt.datetime(1997, 1, 1), "end_date": dt.datetime(1998, 1, 1), "stats_duration": "1y", "step_size": "1y"})(s, d), _grouped(_MEAN, [Epoch(dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31, 23, 59, 59, 999999))]))
 
 # Calendars

@@ -6,11 +6,11 @@ tasks commit or abort as a whole, and what exists already is never overwritten u
 
 from __future__ import annotations
 
-import datetime as dt
+import string
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronopix.model import ConfigurationError, Measurement, OutputProduct
@@ -36,7 +36,8 @@ def stored(m: Measurement, c: Column | None = None) -> Column:
 def cast_back(df: DataFrame, keys: Sequence[str], measurements: Sequence[Measurement]) -> DataFrame:
     if lacking := [m.name for m in measurements if m.name not in df.columns]:
         raise ConfigurationError(f"bands {lacking} were not computed")
-    return df.select(*keys, *[stored(m) for m in measurements])
+    kept = {m.name: df.schema[m.name].metadata | m.metadata() for m in measurements}
+    return df.select(*keys, *[stored(m).alias(m.name, metadata=kept[m.name]) for m in measurements])
 
 
 def attributes(default: Mapping[str, Any], plugin: Mapping[str, Any], config: Mapping[str, Any]) -> dict[str, Any]:
@@ -44,13 +45,63 @@ def attributes(default: Mapping[str, Any], plugin: Mapping[str, Any], config: Ma
     return {**default, **plugin, **config}
 
 
-def file_name(template: str, *, name: str, stat_name: str, epoch_start: dt.datetime, epoch_end: dt.datetime, tile: tuple[int, int] | None = None, feature: Mapping[str, Any] | None = None, **extra: Any) -> str:
-    """A path from a template; dates take strftime formats, features give their properties and feature_id."""
-    place = {"x": tile[0], "y": tile[1], "tile_index": tile} if tile else {}
-    try:
-        return template.format(**{**(feature or {}), **place, "name": name, "stat_name": stat_name, "epoch_start": epoch_start, "epoch_end": epoch_end, **extra})
-    except KeyError as e:
-        raise ConfigurationError(f"the template's {e} is not known here") from e
+#: strftime's directives in Spark's patterns.
+_DIRECTIVES = {"Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "M": "mm", "S": "ss", "j": "DDD", "b": "MMM", "B": "MMMM", "f": "SSSSSS"}
+
+
+def _dated(time: Column, spec: str) -> Column:
+    """The time by a strftime format; without one, as Python writes it."""
+    if not spec:
+        whole = F.date_format(time, "yyyy-MM-dd HH:mm:ss")
+        return F.when(F.date_format(time, "SSSSSS") == "000000", whole).otherwise(F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    parts, plain = [], ""
+    it = iter(spec)
+    for ch in it:
+        if ch == "%":
+            d = next(it, "%")
+            if d != "%" and d not in _DIRECTIVES:
+                raise ConfigurationError(f"a date format has %{d}, which is not known here")
+            if d != "%":
+                parts += [F.lit(plain), F.date_format(time, _DIRECTIVES[d])]
+            plain = "%" if d == "%" else ""
+        else:
+            plain += ch
+    return F.concat(*parts, F.lit(plain))
+
+
+def file_column(product: OutputProduct, columns: Sequence[str], places: Mapping[Any, tuple[str, str]] | None = None) -> Column:
+    """The path that the product's template gives a row: x and y are the tile (of a feature's rows the names in places), epoch_start and epoch_end take
+    strftime formats, var_name is the band where rows are by band, and the product's own metadata may be named."""
+    by_feature = "feature_id" in columns
+
+    def place(i: int) -> Column:
+        if not by_feature:
+            return F.col(("tile_x", "tile_y")[i]).cast("string")
+        out = F.col("feature_id").cast("string") if i == 0 else F.lit("")
+        for feature, names in (places or {}).items():
+            out = F.when(F.col("feature_id") == feature, F.lit(names[i])).otherwise(out)
+        return out
+
+    parts = []
+    for text, name, spec, _ in string.Formatter().parse(product.template or ""):
+        parts.append(F.lit(text))
+        if name is None:
+            continue
+        if name in ("x", "y"):
+            parts.append(place("xy".index(name)))
+        elif name in ("epoch_start", "epoch_end"):
+            parts.append(_dated(F.col(name), spec or ""))
+        elif name in ("name", "stat_name"):
+            parts.append(F.lit(product.name if name == "name" else product.stat_name))
+        elif name == "var_name" and "measurement" in columns:
+            parts.append(F.col("measurement"))
+        elif name == "feature_id" and by_feature:
+            parts.append(F.col("feature_id").cast("string"))
+        elif name in product.metadata:
+            parts.append(F.lit(format(product.metadata[name], spec or "")))
+        else:
+            raise ConfigurationError(f"the template's {name!r} is not known here")
+    return F.concat(*parts)
 
 
 def tiff_type(dtype: str, nodata: Any) -> tuple[str, Any]:
@@ -59,13 +110,19 @@ def tiff_type(dtype: str, nodata: Any) -> tuple[str, Any]:
 
 
 class Writer:
-    """Writes one output product under a location."""
+    """Writes one output product under a location, in one folder per task's file name where it has a template, else per epoch.
+
+    What exists is an error, unless it is to be overwritten, or skipped: then the tasks (tile or feature, and epoch) that are there are left out, and the others join them.
+    """
 
     name = "parquet"
     format = "parquet"
 
-    def __init__(self, location: str, overwrite: bool = False, **params: Any):
-        self.location, self.mode, self.params = location.rstrip("/"), "overwrite" if overwrite else "errorifexists", params
+    def __init__(self, location: str, overwrite: bool = False, skip: bool = False, places: Mapping[Any, tuple[str, str]] | None = None, chunking: Mapping[str, int] | None = None, **params: Any):
+        self.location, self.mode, self.skip, self.places, self.params = location.rstrip("/"), "overwrite" if overwrite else "errorifexists", skip, places, params
+        self.chunking = dict(chunking or {})
+        if unknown := set(self.chunking) - {"x", "y", "time"}:
+            raise ConfigurationError(f"chunking has unknown dimensions {sorted(unknown)}")
 
     def path(self, product: OutputProduct) -> str:
         return f"{self.location}/{product.name}"
@@ -73,15 +130,39 @@ class Writer:
     def shape(self, df: DataFrame, product: OutputProduct, keys: Sequence[str]) -> DataFrame:
         return cast_back(df, keys, product.measurements)
 
+    def done(self, df: DataFrame, product: OutputProduct) -> DataFrame | None:
+        """The tasks that the product's folder has rows of; None where there is no such folder."""
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(self.path(product))
+        if not path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).exists(path):
+            return None
+        keys = [k for k in ("tile_x", "tile_y", "feature_id", "epoch_start", "epoch_end") if k in df.columns]
+        return df.sparkSession.read.format(self.format).schema(df.select(*keys).schema if self.format == "parquet" else df.schema).load(self.path(product)).select(*keys).distinct()
+
     def write(self, df: DataFrame, product: OutputProduct, keys: Sequence[str], partition: Sequence[str] = ("epoch_id",)) -> Any:
-        out = self.shape(df, product, keys).write.mode(self.mode).options(**{k: v for k, v in self.params.items() if isinstance(v, (str, int, bool))})
-        (out.partitionBy(*partition) if partition else out).format(self.format).save(self.path(product))
+        out, mode = self.shape(df, product, keys), self.mode
+        if self.skip and (done := self.done(out, product)) is not None:
+            out, mode = self.missing(out, done, done.columns), "append"
+        if product.template:
+            out, partition = out.withColumn("file", file_column(product, out.columns, self.places)), ("file",)
+        blocks = [F.floor(F.col(c) / n) for c, n in self.chunking.items() if c in out.columns]
+        if blocks:  # rows of one block of pixels lie together
+            out = out.sortWithinPartitions(*partition, *blocks)
+        w = out.write.mode(mode).options(**{k: v for k, v in self.params.items() if isinstance(v, (str, int, bool))})
+        (w.partitionBy(*partition) if partition else w).format(self.format).save(self.path(product))
         return self.path(product)
 
     def missing(self, tasks: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
         """What is still to be written."""
         return resumable(tasks, existing, keys)
 
+    def describe(self, spark: SparkSession, product: OutputProduct, definition: Mapping[str, Any]) -> None:
+        """The product's definition, where its bands are, and what else is given, as YAML beside it."""
+        import yaml
+
+        bands = {m.name: {"layer": i, "path": product.name} for i, m in enumerate(product.measurements, 1)}
+        text = yaml.safe_dump(plain({**definition, "bands": bands}), sort_keys=False)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.location}/_definitions/{product.name}")
+
 
 class CsvWriter(Writer):
     name, format = "csv", "csv"
@@ -139,15 +220,24 @@ def unpivot(df: DataFrame, keys: Sequence[str], measurements: Sequence[Measureme
     return df.unpivot(list(keys), [m.name for m in measurements], "measurement", "value")
 
 
-def product_definition(product: OutputProduct, date_ranges: Mapping[str, Any], driver: str) -> dict[str, Any]:
-    """What a catalog needs to know of a product: its bands, period, step, format and custom metadata."""
-    stats = {k: str(date_ranges[k]) for k in ("start_date", "end_date", "stats_duration", "step_size") if date_ranges.get(k) is not None}
-    return {"name": product.name, "metadata": {"product_type": product.metadata.get("product_type", "!!NOTSET!!"), "statistics": stats, "format": driver, **product.metadata}, "measurements": [{"name": m.name, **m.metadata()} for m in product.measurements]}
-
-
-def sidecar(path: str, definition: Mapping[str, Any], bands: Mapping[str, tuple[int, str]], datasets: Sequence[Any]) -> None:
-    """A YAML file beside an output: its definition, where its bands are, and what went in."""
-    import yaml
-
-    with open(path, "x", encoding="utf-8") as f:
-        yaml.safe_dump({**definition, "bands": {n: {"layer": i, "path": p} for n, (i, p) in bands.items()}, "lineage": list(datasets)}, f, sort_keys=False)
+def plain(x: Any) -> Any:
+    """x with dates and numbers that YAML has no form for as text."""
+    if isinstance(x, Mapping):
+        return {str(k): plain(v) for k, v in x.items()}
+    if isinstance(x, (list, tuple)):
+        return [plain(v) for v in x]
+    return x if isinstance(x, (str, int, float, bool, type(None))) else str(x)
+
+
+def product_definition(product: OutputProduct, config: Mapping[str, Any], driver: str) -> dict[str, Any]:
+    """What a catalog needs to know of a product: its bands, period, step, format, custom metadata, global attributes, and the configuration it came from."""
+    dates = config["date_ranges"]
+    stats = {"period": dates.get("stats_duration") or "*", "step": dates.get("step_size") or "*"}
+    kept = attributes({"product_type": "!!NOTSET!!", "statistics": stats, "format": driver}, product.metadata, {})
+    return {
+        "name": product.name,
+        "metadata": kept,
+        "measurements": [{"name": m.name, **m.metadata()} for m in product.measurements],
+        "attributes": attributes({"title": product.name}, {}, config.get("global_attributes") or {}),
+        "lineage": {"algorithm": {"name": "chronopix", "parameters": {"configuration": {k: v for k, v in config.items() if k != "global_attributes"}}}},
+    }

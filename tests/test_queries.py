@@ -23,7 +23,7 @@ def test_query_without_sql_gives_rows(spark, sf, name):
 
 def test_daily_discovery_over_the_whole_table(spark, sf, con):
     days = con.sql("SELECT count(DISTINCT (l_partkey, CAST(l_shipdate AS DATE))), count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem").fetchall()[0]
-    got = queries()["epochs_daily_discovery_whole"](spark, sf)
+    got = queries()["epochs_daily_discovery"](spark, sf)
     assert (got.count(), got.select("epoch_start").distinct().count()) == days
 
 

@@ -12,7 +12,7 @@ from chronopix.model import ConfigurationError, Measurement
 from chronopix.operators import External, GeometricMedian, Latest, Medoid, NormalisedDifference, Percentile, Simple, SpectralMAD, WaterSummary, reduce_frame
 from chronopix.operators.calendar_filters import filter_product, hydrology_windows, hydrology_years, part_name, tide_height_band, tide_low_high, tide_phase
 from chronopix.operators.geomedian import weiszfeld
-from chronopix.sinks.output import cast_back, file_name, tiff_type, unpivot, writer
+from chronopix.sinks.output import cast_back, file_column, tiff_type, unpivot, writer
 from chronopix.sources.catalog import fuse_of
 from chronopix.sources.regions import boundary, read_features, read_tiles
 
@@ -195,13 +195,22 @@ def test_writers(spark, tmp_path):
     assert tiff_type("int8", -1) == ("uint8", 255)
 
 
-def test_file_names():
-    t = "{name}_{x}_{y}_{epoch_start:%Y%m}_{ID}.nc"
-    a = dt.datetime(2001, 2, 3)
-    assert file_name(t, name="n", stat_name="s", epoch_start=a, epoch_end=a, tile=(1, -2), feature={"ID": 7}) == "n_1_-2_200102_7.nc"
-    with pytest.raises(ConfigurationError):
-        file_name("{nope}", name="n", stat_name="s", epoch_start=a, epoch_end=a)
-    assert part_name(3, 1.0, -2.0, {"tide_percent": 10, "sub_class": "e"}) == "e_3_1.00_-2.00_PER_10"
+def test_file_names(spark):
+    from chronopix.model import OutputProduct
+
+    a, e = dt.datetime(2001, 2, 3), dt.datetime(2001, 12, 31, 23, 59, 59, 999999)
+    df = spark.createDataFrame([(1, -2, a, e)], "tile_x int, tile_y int, epoch_start timestamp_ntz, epoch_end timestamp_ntz")
+    product = lambda t: OutputProduct("n", Simple(), tuple(AB), tuple(AB), "s", t, {}, {"extra": 7})
+    for template in ("{name}/{x}_{y}_{epoch_start:%Y%m}_{extra}.nc", "{stat_name}{x}{y}_{epoch_start}_{epoch_end}", "{epoch_end:%d-%m-%y %H:%M:%S.%f %j}"):
+        want = template.format(name="n", stat_name="s", x=1, y=-2, epoch_start=a, epoch_end=e, extra=7)
+        assert df.select(file_column(product(template), df.columns)).first()[0] == want
+    for bad in ("{nope}", "{var_name}", "{feature_id}", "{epoch_start:%Q}"):
+        with pytest.raises(ConfigurationError):
+            file_column(product(bad), df.columns)
+    f = {"feature_id": 3, "properties": {"lon": 1.5, "lat": -2, "DY1": "1995", "DY2": "1998"}}
+    assert part_name(f, {"method": "by_tide_height", "args": {"tide_percent": 10, "sub_class": "e"}}) == ("E_1.5", "-2")
+    assert part_name(f, {"method": "by_tide_height", "args": {"tide_percent": 10}}) == ("3_1.5", "-2_PER_10")
+    assert part_name(f, {"method": "by_hydrological_months", "args": {"type": "dry"}}) == ("3", "1995_1998")
 
 
 def test_regions(tmp_path):
