@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from chronopix.llm.common import only, written
 
 #: Pivots at least and at most (four for each cell, in between), and how many, nearest first, represent a vector.
-PIVOTS, MOST_PIVOTS, ORDERED = 512, 8_192, 128
+PIVOTS, MOST_PIVOTS, ORDERED = 512, 8_192, 64
 #: Distinct vectors of a cell, on average. One of over four times as many is dealt out by hash to parts of about twice as many, which are all visited.
 CELL = 2_048
 #: Share of nearest neighbours that should lie in the cells a query visits, and the rows it is found out on: so many, so many of which are queries.
@@ -74,11 +74,11 @@ def footrule(queries: np.ndarray, orders: np.ndarray, n_pivots: int) -> Iterator
     # Two orders without a pivot in common are 2 * (k + ... + 1) apart. A shared pivot at places i and j adds |i - j|
     # in place of (k - i) + (k - j), which takes off 2 * (k - max(i, j)).
     for q in queries:
-        shared = np.zeros(n, np.int32)
-        for i, p in enumerate(q.tolist()):
-            a, b = starts[p], starts[p + 1]
-            shared[rows[a:b]] += k - np.maximum(places[a:b], i)
-        yield k * (k + 1) - 2 * shared
+        first, sizes = starts[q], starts[q + 1] - starts[q]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)  # the query's files, one after the other
+        shared = np.bincount(rows[at], k - np.maximum(places[at], np.repeat(np.arange(len(q), dtype=np.int32), sizes)), n)
+        yield k * (k + 1) - 2 * shared.astype(np.int64)
 
 
 def _best(ids: list[np.ndarray], score: np.ndarray, most: int) -> list[tuple[int, float]]:
