@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
 Voters are lexicon words and word-beginning patterns, met once or repeatedly in a text: a beginning that clean texts have
-now and then marks a toxic one by how often it comes. They are chosen to cover the labelled toxic documents several times
-over, and then all others of high lift. A generative label model estimates how often each voter fires on toxic and on other documents, and how far voters fire together given the
-class, by expectation maximisation over the sample, with the labels as one more voter; a voter that repeats what others say
-weighs less. Its posterior labels train a linear classifier over the voters' words and patterns and how many of them fire.
+now and then marks a toxic one by how often it comes. Labels choose them: those for toxic to cover the labelled toxic documents several times
+over, and then all others of high lift; those against it, if any are as sure. A generative label model estimates, without any label, from how
+voters agree over labelled and unlabelled documents alike, how often each fires on toxic and on other documents, and how far voters
+fire together given the class: one that repeats what others say weighs less. Its evidence becomes a posterior by a logistic fitted to the
+labelled documents, and the posteriors of all of them train a linear classifier over the voters and how many fire.
 """
 
 from __future__ import annotations
@@ -19,19 +20,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import bucket, only, written
+from chronopix.llm.common import bucket, forget, only, written
 from chronopix.llm.quality import _sigmoid, sample
 
-#: The models are fitted on a sample, by hash of the id, of about this many labelled rows (all, if fewer).
+#: The models are fitted on a sample, by hash of the id, of about this many labelled rows (all, if fewer), and as many more without a label.
 SAMPLE = 24_000
+#: Features of high lift that may become voters: the ones that most toxic documents of the sample have. Rarer ones, beyond so many, are not looked at.
+CANDIDATES = 20_000
 #: Letters of a word-beginning pattern.
 BEGINNINGS = (4, 5, 6)
 #: Times that a word or beginning is met in a text, at least, each a feature of its own.
 REPEATS = (1, 2, 4)
-#: Documents that a voter must fire on; times that the first voters should cover a toxic document; voters at most.
+#: Documents that a voter must fire on; times that the first voters should cover a toxic document; voters at most, of either kind: further ones, which
+#: fire on fewer documents or where others fire already, are not used.
 SUPPORT, COVER, VOTERS = 5, 3, 400
-#: A voter's least rate on toxic documents over its rate on others.
-LIFT = 20.0
+#: A voter's least rate on toxic documents over its rate on others; and the least of it that the label model may find, as voters were chosen for it.
+LIFT, FLOOR = 20.0, 5.0
+#: A voter against toxicity must be one that chance would put into so many of the toxic documents.
+CERTAIN = 10.0
 #: Scores from here on predict 1.
 THRESHOLD = 0.3
 
@@ -81,7 +87,7 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 
 def _fires(rows: DataFrame, names: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels, and which features each row has, in order of the rows' ids."""
+    """Labels (-1: none), and which features each row has, in order of the rows' ids."""
     known = {f: i for i, f in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,39 +141,53 @@ def choose(names: list[str], lift: np.ndarray, hits: list[np.ndarray], labels: n
 
 
 class LabelModel:
-    """Rates of voters by class, and weights that discount voters which fire together given the class."""
+    """How often voters fire on either class, and weights that discount those which fire together given the class, by expectation maximisation without labels.
 
-    def __init__(self, votes: np.ndarray, labels: np.ndarray, rounds: int = 15, trust: float = 0.98):
-        n, m = votes.shape
-        y = labels.astype(float)
-        q, told = y.copy(), np.where(labels > 0, 1.0, -1.0) * math.log(trust / (1 - trust))
-        self.weights = np.ones(m)
+    votes: distinct rows of votes, each met ``weight`` times; sign: 1 for voters for the class, -1 for those against it; prior: the class's share.
+    """
+
+    def __init__(self, votes: np.ndarray, weight: np.ndarray, sign: np.ndarray, prior: float, rounds: int = 60):
+        n = weight.sum()
+        q = np.clip(0.02 + 0.48 * np.maximum(votes @ sign, 0), 0.02, 0.95)
         for _ in range(rounds):
-            p = (q.sum() + 1) / (n + 2)
-            on, off = (q @ votes + 0.5) / (q.sum() + 1), ((1 - q) @ votes + 0.5) / (n - q.sum() + 1)
-            mean = q[:, None] * on[None, :] + (1 - q[:, None]) * off[None, :]
-            rest = votes - mean
-            cov = rest.T @ rest / n
+            qw, rw = q * weight, (1 - q) * weight
+            on, off = (qw @ votes + 0.5) / (qw.sum() + 1), (rw @ votes + 0.5) / (rw.sum() + 1)
+            on, off = np.where(sign > 0, np.maximum(on, np.minimum(FLOOR * off, 0.5)), on), np.where(sign < 0, np.maximum(off, np.minimum(FLOOR * on, 0.5)), off)
+            rest = votes - (q[:, None] * on[None, :] + (1 - q[:, None]) * off[None, :])
+            cov = (rest * weight[:, None]).T @ rest / n
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             self.correlation = np.abs(cov / sd[:, None] / sd[None, :])
             np.fill_diagonal(self.correlation, 1.0)
             self.weights = 1 / np.where(self.correlation > 0.2, self.correlation, 0).sum(axis=1)
-            self.on, self.off, self.prior = np.clip(on, 1e-6, 1 - 1e-6), np.clip(off, 1e-6, 1 - 1e-6), p
-            new = _sigmoid(self.logit(votes) + told)
-            if np.abs(new - q).max() < 1e-4:
-                q = new
+            self.on, self.off, self.prior = np.clip(on, 1e-6, 1 - 1e-6), np.clip(off, 1e-6, 1 - 1e-6), prior
+            new = _sigmoid(self.logit(votes))
+            moved, q = np.abs(new - q).max(), new
+            if moved < 1e-4:
                 break
-            q = new
-        self.posterior = q
 
     def logit(self, votes: np.ndarray) -> np.ndarray:
         fire, quiet = np.log(self.on / self.off), np.log((1 - self.on) / (1 - self.off))
         return math.log(self.prior / (1 - self.prior)) + votes @ (self.weights * (fire - quiet)) + (self.weights * quiet).sum()
 
 
+def calibrated(evidence: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Posteriors from the label model's evidence, by a logistic through how many labelled documents of each class have it; its slope is held near 1 where they say little."""
+    slope, shift, n = 1.0, 0.0, toxic + other
+    for _ in range(100):
+        p = _sigmoid(slope * evidence + shift)
+        e, h = n * p - toxic, n * p * (1 - p) + 1e-9
+        hess = np.array([[(h * evidence**2).sum() + 1.0, (h * evidence).sum()], [(h * evidence).sum(), h.sum() + 1e-6]])
+        step = np.linalg.solve(hess, np.array([(e * evidence).sum() + slope - 1.0, e.sum()]))
+        slope, shift = slope - step[0], shift - step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return _sigmoid(max(slope, 0.05) * evidence + shift)
+
+
 class Classifier:
-    def __init__(self, voters: list[str], weights: np.ndarray, bias: float):
-        self.known, self.weights, self.bias = {v: i for i, v in enumerate(voters)}, weights, bias
+    def __init__(self, voters: list[str], weights: np.ndarray, bias: float, against: int = 0):
+        """voters: those for toxicity, then ``against`` of them that speak against it."""
+        self.known, self.weights, self.bias, self.speaking = {v: i for i, v in enumerate(voters)}, weights, bias, len(voters) - against
         self.bases = {p: n for n, p in enumerate(dict.fromkeys(v.rstrip("0123456789") for v in voters))}
         self.levels = [[(r, self.known[v]) for r in REPEATS if (v := p if r == 1 else f"{p}{r}") in self.known] for p in self.bases]
         self.met: dict[str, tuple[int, ...]] = {}
@@ -188,25 +208,25 @@ class Classifier:
     def score(self, text: str | None) -> float:
         """Every text of one set of firing voters scores the same; a text without words has the score of a text on which none fires."""
         known, hits = self.known, self.hits(text)
-        x = self.bias + sum(self.weights[i] for i in sorted(hits)) + self.weights[len(known) + min(len(hits), 3)]
+        x = self.bias + sum(self.weights[i] for i in sorted(hits)) + self.weights[len(known) + min(sum(i < self.speaking for i in hits), 3)]
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 
 
-def _rows(votes: np.ndarray) -> np.ndarray:
-    """Votes, and as indicators how many fire: 0, 1, 2, or more."""
-    many = np.minimum(votes.sum(axis=1).astype(int), 3)
+def _rows(votes: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Votes, and as indicators how many fire for toxicity: 0, 1, 2, or more."""
+    many = np.minimum(votes[:, sign > 0].sum(axis=1).astype(int), 3)
     return np.hstack([votes, np.eye(4)[many]])
 
 
-def linear(votes: np.ndarray, target: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by Newton steps with a ridge."""
-    x = np.hstack([_rows(votes), np.ones((len(votes), 1))])
+def linear(votes: np.ndarray, sign: np.ndarray, weight: np.ndarray, target: np.ndarray, penalty: float = 1.0) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels of weighted rows by Newton steps with a ridge."""
+    x = np.hstack([_rows(votes, sign), np.ones((len(votes), 1))])
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(30):
         p = _sigmoid(x @ w)
-        g = x.T @ (p - target) + ridge * w
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
+        g = x.T @ (weight * (p - target)) + ridge * w
+        h = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -214,30 +234,61 @@ def linear(votes: np.ndarray, target: np.ndarray, penalty: float = 1.0) -> tuple
     return w[:-1], float(w[-1])
 
 
+def _unlabelled(documents: DataFrame, labels: DataFrame, skip) -> DataFrame:
+    """doc_id, text, label (-1) of about SAMPLE rows, by hash of the id, that skip leaves and no label names."""
+    d = only(documents, doc_id="bigint", text="string").where(F.col("doc_id").isNotNull() & ~skip(F.col("doc_id")))
+    share = min(1.0, SAMPLE / max(1, d.select("doc_id").count()))
+    d = d.where(F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
+    told = only(labels, doc_id="bigint", toxic="int").where(F.col("toxic").isNotNull())
+    return d.join(told, "doc_id", "left_anti").select("doc_id", "text", F.lit(-1).alias("label"))
+
+
 def train(documents: DataFrame, labels: DataFrame, skip) -> Classifier:
-    """A classifier from a sample of the labelled rows that ``skip`` leaves. Without toxic rows nothing is toxic; of an id's several labels one counts. Equal texts count once."""
-    rows = sample(documents, labels, "toxic", SAMPLE, skip)
-    rows = rows.withColumn("h", F.xxhash64("text")).groupBy("h").agg(F.min(F.struct("doc_id", "label", "text")).alias("r")).select("r.doc_id", "r.text", "r.label", "h")
+    """A classifier from a sample of the rows that ``skip`` leaves, labelled ones and as many others. Without toxic rows nothing is toxic; of an id's several labels the least counts. Equal texts count once, by their least id."""
+    rows = sample(documents, labels, "toxic", SAMPLE, skip).unionByName(_unlabelled(documents, labels, skip))
+    mine = F.struct((F.col("label") < 0).alias("none"), "doc_id", "label", "text")
+    rows = rows.withColumn("h", F.xxhash64("text")).groupBy("h").agg(F.min(mine).alias("r")).select("r.doc_id", "r.text", "r.label", "h")
     rows = written(rows, "labelled")
-    n = rows.groupBy("label").count().collect()
-    total = {r["label"]: r["count"] for r in n}
+    told = rows.where("label >= 0")
+    total = {r["label"]: r["count"] for r in told.groupBy("label").count().collect()}
     toxic, other = sum(v for k, v in total.items() if k), total.get(0, 0)
     if not toxic:
+        forget(rows)
         return Classifier([], np.zeros(4), -6.0)
-    rate = (F.col("toxic") / F.lit(float(toxic + 1))) / ((F.col("other") + F.lit(0.5)) / F.lit(float(other + 1)))
+    seen = _counts(told)
+    yes, no = F.col("toxic") / F.lit(float(toxic + 1)), F.col("other") / F.lit(float(other + 1))
     least = max(2, min(SUPPORT, toxic // 10))
-    top = _counts(rows).where(F.col("toxic") >= least).withColumn("lift", rate).where(F.col("lift") >= min(LIFT, (other + 1) / 2)).orderBy(F.desc("toxic"), F.desc("lift"), "feature").limit(20_000).collect()
-    names, lift = [r["feature"] for r in top], np.array([r["lift"] for r in top])
+    lift = yes / ((F.col("other") + F.lit(0.5)) / F.lit(float(other + 1)))
+    top = seen.where(F.col("toxic") >= least).withColumn("lift", lift).where(F.col("lift") >= min(LIFT, (other + 1) / 2)).orderBy(F.desc("toxic"), F.desc("lift"), "feature").limit(CANDIDATES)
+    lift = no / ((F.col("toxic") + F.lit(0.5)) / F.lit(float(toxic + 1)))
+    low = seen.withColumn("lift", lift).where((no * toxic >= CERTAIN) & (F.col("lift") >= LIFT)).orderBy(F.desc("other"), F.desc("lift"), "feature").limit(CANDIDATES)
+    found = [(r["kind"], r["feature"], r["lift"]) for r in top.select(F.lit(1).alias("kind"), "feature", "lift", "toxic").union(low.select(F.lit(-1), "feature", "lift", "other")).orderBy(F.desc("kind"), F.desc("toxic"), F.desc("lift"), "feature").collect()]
+    names = [f for _, f, _ in found]
     y, hits = _fires(rows, names)
-    voters = choose(names, lift, hits, y, least)
-    place = {f: i for i, f in enumerate(voters)}
+    forget(rows)
+    voters, sign = [], []
+    for kind, bound in ((1, least), (-1, int(CERTAIN))):
+        at = np.array([k == kind for k, _, _ in found], bool)
+        to = np.where(at, np.cumsum(at) - 1, -1)
+        own = [t[t >= 0] for d, h in enumerate(hits) if y[d] >= 0 for t in [to[h]]]
+        wanted = (y[y >= 0] > 0) == (kind > 0)
+        chosen = choose([f for f, x in zip(names, at, strict=True) if x], np.array([v for _, _, v in found])[at], own, wanted.astype(int), bound) if at.any() else []
+        voters += chosen
+        sign += [kind] * len(chosen)
+    if not voters:
+        return Classifier([], np.zeros(4), math.log(toxic / (other + 1)))
+    place, sign = {f: i for i, f in enumerate(voters)}, np.array(sign)
     to = np.array([place.get(f, -1) for f in names], np.int64)
-    votes = np.zeros((len(y), len(voters)))
+    votes = np.zeros((len(y), len(voters)), bool)
     for d, h in enumerate(hits):
         h = to[h]
-        votes[d, h[h >= 0]] = 1
-    weights, bias = linear(votes, LabelModel(votes, y).posterior) if voters else (np.zeros(4), math.log(toxic / (other + 1)))
-    return Classifier(voters, weights, bias)
+        votes[d, h[h >= 0]] = True
+    votes, which, weight = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    votes, weight = votes.astype(float), weight.astype(float)
+    tally = lambda rows: np.bincount(which[rows], minlength=len(votes)).astype(float)
+    posterior = calibrated(LabelModel(votes, weight, sign, toxic / (toxic + other)).logit(votes), tally(y > 0), tally(y == 0)) if other else np.ones(len(votes))
+    weights, bias = linear(votes, sign, weight, posterior)
+    return Classifier(voters, weights, bias, int((sign < 0).sum()))
 
 
 def score(documents: DataFrame, model: Classifier, name: str = "toxicity") -> DataFrame:

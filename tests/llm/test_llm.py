@@ -413,6 +413,56 @@ def test_voters_beyond_the_cover_and_repeats():
     assert toxicity.choose(list("abcde"), np.array([9.0, 5, 9, 9, 3]), hits, y, least=2) == ["a", "b", "e"]  # c and d fire where a does
 
 
+def test_label_model_finds_rates_and_correlations_without_labels():
+    """Simulated voters of known rates, one of them copied twice with little change, and one against."""
+    rng = np.random.default_rng(3)
+    n, prior = 40_000, 0.15
+    y = rng.random(n) < prior
+    on, off = np.array([0.6, 0.5, 0.4, 0.3, 0.7, 0.05]), np.array([0.02, 0.01, 0.03, 0.005, 0.1, 0.4])
+    votes = rng.random((n, 6)) < np.where(y[:, None], on, off)
+    copies = [np.where(rng.random(n) < 0.02, ~votes[:, 0], votes[:, 0]) for _ in range(2)]
+    votes = np.column_stack([votes, *copies])
+    sign = np.array([1, 1, 1, 1, 1, -1, 1, 1])
+    rows, weight = np.unique(votes, axis=0, return_counts=True)
+    model = toxicity.LabelModel(rows.astype(float), weight.astype(float), sign, prior)
+    assert np.allclose(model.on[:6], on, atol=0.08) and np.allclose(model.off[:6], off, atol=0.03)
+    assert model.correlation[0, 6] > 0.6 and model.weights[[0, 6, 7]].max() < 0.5 < model.weights[[1, 2, 3, 4, 5]].min()
+    found = toxicity._sigmoid(model.logit(votes.astype(float))) > 0.5
+    assert (found == y).mean() > 0.95
+    alone = toxicity.calibrated(model.logit(rows.astype(float)), np.array([(y & (votes == r).all(axis=1)).sum() for r in rows], float), np.array([(~y & (votes == r).all(axis=1)).sum() for r in rows], float))
+    assert abs((alone * weight).sum() / n - prior) < 0.01
+
+
+def test_linear_classifier_against_plain_descent():
+    rng = np.random.default_rng(4)
+    votes, weight, sign = (rng.random((30, 4)) < 0.4).astype(float), rng.integers(1, 9, 30).astype(float), np.array([1, 1, 1, -1])
+    target = rng.random(30)
+    w, b = toxicity.linear(votes, sign, weight, target, penalty=0.7)
+    x = np.array([[*v, *(float(min(3, v[:3].sum()) == k) for k in range(4)), 1.0] for v in votes])
+    z, ridge = np.zeros(9), np.array([0.7] * 8 + [1e-6])
+    for _ in range(60_000):
+        z -= 0.01 * (x.T @ (weight * (1 / (1 + np.exp(-x @ z)) - target)) + ridge * z)
+    assert np.allclose([*w, b], z, atol=1e-3)
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    """The classifier's score of every document, from its voters' patterns by plain search."""
+    sf = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), _labels(spark, sf)
+    model = toxicity.train(d, labels, toxicity.held_out)
+    got = {r["doc_id"]: r["toxicity"] for r in toxicity.score(d, model).collect()}
+    import re
+
+    for r in d.collect():
+        words, fires = re.findall(r"[^\W\d_]+", r["text"].lower()), []
+        for v, i in model.known.items():
+            stem, times = v.rstrip("0123456789"), int(v[len(v.rstrip("0123456789")) :] or 1)
+            met = sum(w.startswith(stem[:-1]) and len(w) > len(stem) - 1 if stem.endswith("*") else w == stem for w in words)
+            fires += [i] if met >= times else []
+        x = model.bias + sum(model.weights[i] for i in fires) + model.weights[len(model.known) + min(3, sum(i < model.speaking for i in fires))]
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-x)), abs=1e-9)
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 200)
