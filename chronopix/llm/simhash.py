@@ -7,10 +7,15 @@ is within 1 of x and so within 1 + 1 = 2 of y. So every fingerprint is replicate
 covering radius plus threshold (17 at most per half), and any two that link meet at an anchor. At an anchor, they are
 compared; a spanning forest of the links found there is kept, which leaves connected what was. Components
 come from the forests' edges by rounds of hooking to the smallest neighbour, each round a written table.
+
+For a similarity, fingerprints are wider (WIDE bits, of distinct shingles): at Jaccard similarity s two texts of a size differ in
+acos(2 s / (1 + s)) / pi of their bits, on average, and that share of the bits is the threshold. The same anchors are laid over each
+run of 32 bits. No code that is as short covers that many bits, so a link is found with a probability, which grows with the similarity; see README.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +26,14 @@ from pyspark.sql import functions as F
 from chronopix.llm.common import arrow_map, forget, fresh, texts, written
 
 THRESHOLD = 3
+#: Bits of the fingerprints that a similarity is judged by.
+WIDE = 256
 #: Votes are summed over so many shingles at once.
 CHUNK = 65_536
+#: Members of an anchor that one task compares. Crowded anchors, found on one fingerprint in SAMPLED, are compared in pairs of blocks; what is found does not depend on it.
+BLOCK, SAMPLED = 16_384, 1_024
+#: Rows of one fingerprint, from which on it is joined by broadcast: there are fewer such fingerprints than rows over HOT.
+HOT = 100_000
 
 
 def fingerprint(text: bytes) -> int:
@@ -45,15 +56,34 @@ def fingerprint(text: bytes) -> int:
     return int(ones.view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame, row: Column | None = None) -> DataFrame:
-    """doc_id, row (any long that the caller wants kept, else 0) and fp, the fingerprint as a signed long, of every row. Null, empty and blank texts have 0."""
+def wide_fingerprint(text: bytes, width: int) -> list[int]:
+    """WIDE bits as unsigned numbers of 64: a bit is 1 if it is 1 in over half of the distinct shingles' XXH3 hashes; all 0 without words."""
+    from xxhash import xxh3_128_digest
+
+    words = text.lower().split()
+    if not words:
+        return [0] * (WIDE // 64)
+    shingles = list({b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
+    votes = np.zeros(WIDE, np.int64)
+    for a in range(0, len(shingles), CHUNK // 4):
+        some = shingles[a : a + CHUNK // 4]
+        flat = b"".join([xxh3_128_digest(x, seed) for x in some for seed in range(42, 42 + WIDE // 128)])
+        bits = np.unpackbits(np.frombuffer(flat, np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
+        for b in range(0, len(bits), 255):
+            votes += np.add.reduce(bits[b : b + 255], axis=0, dtype=np.uint8)
+    return np.packbits(votes * 2 > len(shingles), bitorder="little").view(np.uint64).tolist()
+
+
+def fingerprints(documents: DataFrame, row: Column | None = None, width: int | None = None) -> DataFrame:
+    """doc_id, row (any long that the caller wants kept, else 0) and the fingerprint of every row as signed longs, f0 and, if it is wide (of shingles of width words), more. Null, empty and blank texts have 0."""
+    n = 1 if width is None else WIDE // 64
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([fingerprint(t) for t in texts(batch.column(2))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["doc_id", "row", "fp"])
+        fp = np.array([[fingerprint(t)] if width is None else wide_fingerprint(t, width) for t in texts(batch.column(2))], np.uint64).reshape(-1, n).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(fp[:, i]) for i in range(n))], names=["doc_id", "row", *(f"f{i}" for i in range(n))])
 
     d = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.lit(0) if row is None else row).cast("bigint").alias("row"), F.col("text").cast("string").alias("text"))
-    return arrow_map(d, one, "doc_id bigint, row bigint, fp bigint")
+    return arrow_map(d, one, "doc_id bigint, row bigint, " + ", ".join(f"f{i} bigint" for i in range(n)))
 
 
 def _flips() -> tuple[np.ndarray, np.ndarray]:
@@ -122,18 +152,18 @@ class Forest:
 
 
 def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
-    """Index pairs of a spanning forest of the links among distinct fingerprints.
+    """Index pairs of a spanning forest of the links among distinct fingerprints, rows of numbers of 64 bits.
 
     One breadth-first sweep: a member taken off the front is compared with all that no tree has yet, and those it
     links to leave the rest. A cluster of near copies thus costs few comparisons; memory is linear in the members. Members
-    of one anchor that do not link are compared each with each, in one task: that time is quadratic in them.
+    that do not link are compared each with each: that time is quadratic in them.
     """
     left, edges = np.arange(len(fp)), []
     while len(left):
         front, left = [left[0]], left[1:]
         while front and len(left):
             x = front.pop()
-            near = np.bitwise_count(fp[left] ^ fp[x]) <= threshold
+            near = np.bitwise_count(fp[left] ^ fp[x]).sum(axis=1, dtype=np.int64) <= threshold
             if near.any():
                 hit = left[near]
                 edges += [(int(x), int(y)) for y in hit]
@@ -142,61 +172,75 @@ def spanning(fp: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]
     return edges
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """a, b: edges between fingerprints whose connected components are those of all links. distinct has fp, each once."""
+def _replicated(distinct: DataFrame, n: int) -> DataFrame:
+    """anchor, node, f0, ...: every fingerprint at its anchors, those of each run of 32 bits apart."""
+    words = [f"f{i}" for i in range(n)]
 
     def replicate(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = batch.column(0).to_numpy(zero_copy_only=False)
-        where, keys = anchors(fp.view(np.uint64))
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[where])], names=["anchor", "fp"])
+        fp, own = [batch.column(i + 1).to_numpy(zero_copy_only=False) for i in range(n)], batch.column(0).to_numpy(zero_copy_only=False)
+        where, keys = zip(*(anchors(f.view(np.uint64)) for f in fp), strict=True)
+        keys, where = np.concatenate([k + (i << 33) for i, k in enumerate(keys)]), np.concatenate(where)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[where]), *(pa.array(f[where]) for f in fp)], names=["anchor", "node", *words])
+
+    return arrow_map(distinct.select("node", *words), replicate, "anchor bigint, node bigint, " + ", ".join(f"{w} bigint" for w in words))
+
+
+def links(distinct: DataFrame, n: int = 1, threshold: int = THRESHOLD) -> DataFrame:
+    """a, b: edges between nodes whose connected components are those of all links found at the anchors. distinct has node and f0, ..., each fingerprint once."""
+    words, block, sampled = [f"f{i}" for i in range(n)], BLOCK, SAMPLED
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, tail = None, []  # the group that may go on in the next batch
+        keys: np.ndarray | None = None  # of the group that may go on in the next batch
+        tail: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def out(groups: list[np.ndarray]) -> pa.RecordBatch | None:
-            a, b = [], []
-            for g in groups:
-                for x, y in spanning(g):
-                    a.append(int(g[x]))
-                    b.append(int(g[y]))
-            return pa.RecordBatch.from_arrays([pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(b, np.uint64).view(np.int64))], names=["a", "b"]) if a else None
+        def out(groups: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            edges = [(nodes[x], nodes[y]) for nodes, fps in groups if len(nodes) > 1 for x, y in spanning(fps, threshold)]
+            if edges:
+                ab = np.array(edges, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0].copy()), pa.array(ab[:, 1].copy())], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            starts = np.concatenate([[0], np.nonzero(keys[1:] != keys[:-1])[0] + 1, [len(keys)]])
-            small, groups = [], []
+            anchor, part, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            fps = np.stack([batch.column(3 + i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(n)], axis=1)
+            same = (anchor[1:] == anchor[:-1]) & (part[1:] == part[:-1])
+            starts = np.concatenate([[0], np.nonzero(~same)[0] + 1, [batch.num_rows]])
             sizes = np.diff(starts)
-            for i in np.nonzero(sizes > 1)[0].tolist():
-                if 0 < i < len(sizes) - 1:
-                    (small if sizes[i] == 2 else groups).append(i)
-            if small:  # groups of two need no forest
-                at = starts[np.array(small)]
-                near = np.bitwise_count(fps[at] ^ fps[at + 1]) <= THRESHOLD
-                if near.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(fps[at][near].view(np.int64)), pa.array(fps[at + 1][near].view(np.int64))], names=["a", "b"])
-            done = [fps[starts[i] : starts[i + 1]] for i in groups]
-            first = fps[: starts[1]]
-            if key is not None and keys[0] == key:
-                tail.append(first.copy())
-                first = None
-            if first is None and len(sizes) > 1 or first is not None:
-                if tail:
-                    done.append(np.concatenate(tail))
+            if keys is not None and (keys[0], keys[1]) != (anchor[0], part[0]):
+                yield from out([(np.concatenate([x for x, _ in tail]), np.concatenate([y for _, y in tail]))])
                 tail = []
-                if first is not None and len(sizes) > 1:
-                    done.append(first)
-                tail = [fps[starts[-2] :].copy()]
-            key = keys[-1]
-            if (b := out([g for g in done if len(g) > 1])) is not None:
-                yield b
-        if tail and (b := out([g for g in [np.concatenate(tail)] if len(g) > 1])) is not None:
-            yield b
-
-    placed = arrow_map(distinct.select("fp"), replicate, "anchor bigint, fp bigint")
-    return placed.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(compare, "a bigint, b bigint").distinct()
+            if len(sizes) > 1:
+                first = slice(0, starts[1])
+                tail.append((nodes[first], fps[first]))
+                yield from out([(np.concatenate([x for x, _ in tail]), np.concatenate([y for _, y in tail]))])
+                tail = []
+                inner = np.nonzero(sizes[:-1] == 2)[0]
+                at = starts[inner[inner > 0]]  # groups of two need no forest
+                near = np.bitwise_count(fps[at] ^ fps[at + 1]).sum(axis=1, dtype=np.int64) <= threshold
+                if near.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[at][near]), pa.array(nodes[at + 1][near])], names=["a", "b"])
+                more = np.nonzero(sizes[:-1] > 2)[0]
+                yield from out([(nodes[starts[i] : starts[i + 1]], fps[starts[i] : starts[i + 1]]) for i in more[more > 0].tolist()])
+            last = slice(starts[-2], starts[-1])
+            tail.append((nodes[last].copy(), fps[last].copy()))
+            keys = np.array([anchor[-1], part[-1]])
+        if tail:
+            yield from out([(np.concatenate([x for x, _ in tail]), np.concatenate([y for _, y in tail]))])
+
+    placed = _replicated(distinct, n)
+    some = distinct.where(F.pmod(F.xxhash64(F.lit(5), *words), F.lit(sampled)) == 0)
+    crowded = written(_replicated(some, n).groupBy("anchor").agg((F.count("*") * sampled).alias("members")).where(F.col("members") > block), "crowded")
+    if crowded.isEmpty():
+        placed = placed.withColumn("part", F.lit(0).cast("bigint"))
+        forget(crowded)
+    else:  # a member of block i goes to the pairs of blocks (i, 0), (i, 1), ..., so that any two members meet
+        blocks = crowded.select("anchor", F.ceil(F.col("members") / block).cast("bigint").alias("blocks"))
+        placed = placed.join(blocks, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        placed = placed.withColumn("mine", F.pmod(F.xxhash64(F.lit(6), *words), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        placed = placed.withColumn("part", F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other"))
+    placed = placed.select("anchor", "part", "node", *words).repartition("anchor", "part").sortWithinPartitions("anchor", "part", "node")
+    return placed.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -232,13 +276,21 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def _labelled(rows: DataFrame) -> DataFrame:
-    """The rows (fp, doc_id, maybe more) with component_id."""
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct.select("fp")))
-    classes = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+def _labelled(rows: DataFrame, n: int = 1, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows (f0, ..., doc_id, maybe more) with the root of their component and component_id."""
+    words = [f"f{i}" for i in range(n)]
+    counted = rows.groupBy(*words).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    distinct = written(counted.withColumn("node", F.monotonically_increasing_id()), "distinct")  # numbers that stay, as they are written
+    roots = components(links(distinct, n, threshold))
+    classes = distinct.join(roots, "node", "left").select(*words, "rows", "least", F.coalesce("root", "node").alias("root"))
     best = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(classes.join(best, "root").select("fp", "root", "component_id"), "fp")
+    classes = classes.join(best, "root").select(*words, "rows", "root", "component_id")
+    hot = distinct.where(F.col("rows") > HOT)
+    if hot.isEmpty():
+        return rows.join(classes.drop("rows"), words)
+    few = F.broadcast(classes.where(F.col("rows") > HOT).drop("rows"))
+    rest = rows.join(F.broadcast(hot.select(*words)), words, "left_anti").join(classes.where(F.col("rows") <= HOT).drop("rows"), words)
+    return rest.unionByName(rows.join(few, words))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -250,20 +302,29 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     however long: votes are summed by runs of shingles. Columns but doc_id and text are not read.
     """
     rows = written(fingerprints(documents), "fingerprints")
-    return _labelled(rows).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return _labelled(rows).select("doc_id", F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def bits_apart(similarity: float) -> int:
+    """The bits of WIDE in which two texts of a size and that Jaccard similarity differ, on average."""
+    return round(WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
-    """Of each component, one row of documents with all its columns: the smallest id (nulls last), then the least hash of the row.
+def keep_one(documents: DataFrame, width: int | None = None, similarity: float = 0.8) -> DataFrame:
+    """Of each component, one row of documents with all its columns, whatever their names: the smallest id (nulls last), then the least hash of the row.
 
-    Which rows stay is decided on ids, fingerprints and hashes alone. Rows equal in id and hash are copies of each other.
+    Components are those of near_duplicates; or, with a width, of wide fingerprints of shingles of so many words (of a shorter text, the
+    whole) that are no more bits apart than the similarity says. Which rows stay is decided on ids, fingerprints and hashes alone. Rows equal in
+    id and hash are copies of each other. Null, empty and blank texts are one component. An empty table gives an empty one.
     """
+    n, threshold = (1, THRESHOLD) if width is None else (WIDE // 64, bits_apart(similarity))
     key = F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])
-    rows = written(fingerprints(documents, key), "fingerprints")
+    rows = written(fingerprints(documents, key, width), "fingerprints")
     mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    best = _labelled(rows).groupBy("root", mine.alias("m")).agg(F.count("*").alias("copies")).groupBy("root").agg(F.min(F.struct("m", "copies")).alias("b"))
+    best = _labelled(rows, n, threshold).groupBy("root", mine.alias("m")).agg(F.count("*").alias("copies")).groupBy("root").agg(F.min(F.struct("m", "copies")).alias("b"))
     row, kept, kept_row, copies = fresh(documents, "_row", "_kept", "_kept_row", "copies")
     best = written(best.select(F.col("b.m.doc_id").alias(kept), F.col("b.m.row").alias(kept_row), F.col("b.copies").alias(copies)), "kept")
+    forget(rows)
     keyed = documents.withColumn(row, key)
     same = keyed["doc_id"].eqNullSafe(best[kept]) & (keyed[row] == best[kept_row])
     out = keyed.join(best.where(F.col(copies) == 1), same, "left_semi").drop(row)
