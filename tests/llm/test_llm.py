@@ -423,6 +423,66 @@ def test_scores_base_and_joined_words(spark, texts, monkeypatch):
     assert lattice.report(docs(spark, []), path, ranked=True).count() == 0
 
 
+def test_scores_against_brute_force(spark):
+    """A document's score from all segmentations of its words, with expected counts by plain enumeration; and that of the vocabulary alone."""
+    path = queries._vocabulary("piece_bpe_32k.model")
+    words = ["ab", "Ab", "cab", "abc", "zz", "é", "ab", "x1"]
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choice(words + [f"q{i}"]) for _ in range(rng.randint(0, 6))), None, None) for i in range(40)]
+    got = {r["doc_id"]: r for r in lattice.report(docs(spark, rows), path, ranked=True).collect()}
+
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    start, single = {}, {}
+    for i in range(sp.get_piece_size()):
+        if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+            n = sp.id_to_piece(i)
+            if sp.is_byte(i):
+                single[int(n[3:5], 16)] = n
+            else:
+                start[n] = 1 / (2 - sp.get_score(i))
+    least = min(start.values()) / 16
+    start |= {f"<0x{b:02X}>": least for b in range(256)}
+    total = sum(start.values())
+    start = {n: v / total for n, v in start.items()}
+
+    def ways(s):
+        """Every segmentation of the marked word, as lists of pieces; a character that is no piece is its bytes."""
+        if not s:
+            yield []
+            return
+        for n in range(1, len(s) + 1):
+            piece = [s[:n]] if s[:n] in start and not s[:n].startswith("<0x") else [f"<0x{b:02X}>" for b in s[0].encode()] if n == 1 else None
+            for rest in ways(s[n:]) if piece else ():
+                yield piece + rest
+
+    def chance(word, p):
+        return sum(math.prod(p[x] for x in way) for way in ways("▁" + word))
+
+    from zlib import crc32
+
+    held = lambda i: crc32(str(i).encode()) % 5 == 1
+    split = lambda t: t.translate({c: c + 32 for c in range(65, 91)}).split()
+    train = [split(t) for i, t, _, _ in rows if not held(i)]
+    c = Counter(w for t in train for w in t)
+    n1, n2 = sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+    d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+    counts = dict.fromkeys(start, lattice.FLOOR)
+    for w in c:
+        whole = chance(w, start)
+        for way in ways("▁" + w):
+            for x in way:
+                counts[x] += d * math.prod(start[y] for y in way) / whole
+    end, spelled = len(train) + 0.5, d * len(c)
+    z, pieces = sum(c.values()) - d * len(c) + spelled + end, sum(counts.values()) + spelled
+    tuned = {n: v / pieces for n, v in counts.items()}
+    for i, t, _, _ in rows:
+        each = [spelled / z * spelled / pieces * chance(w, tuned) + max(c[w] - d, 0) / z for w in split(t)]
+        assert got[i]["score"] == pytest.approx(sum(map(math.log10, each)) + math.log10(end / z), abs=1e-8)
+        assert got[i]["vocabulary_score"] == pytest.approx(sum(math.log10(chance(w, start)) for w in split(t)), abs=1e-8)
+
+
 # Classifiers
 def _labels(spark, sf):
     return spark.read.parquet(f"{sf}/labels.parquet")
@@ -529,6 +589,63 @@ def test_dual_coordinate_descent_separates():
     assert all((m.score(r) >= 0.5) == bool(v) for r, v in zip(rows, y, strict=True))
 
 
+def test_dual_coordinate_descent_against_the_primal():
+    """The scaled indicators by their definition, and the objective at the answer against subgradient descent's best."""
+    rng = np.random.default_rng(2)
+    y = (rng.random(120) < 0.35).astype(int)
+    rows = [np.unique(np.concatenate([rng.integers(0, 40, 8), [50 if v and rng.random() < 0.7 else 51]])).astype(np.int32) for v in y]
+    model = quality.fit(rows, y)
+    size = 60
+    has = np.zeros((120, size))
+    for i, r in enumerate(rows):
+        has[i, r] = 1
+    pos, neg = has[y == 1].sum(axis=0) + 1, has[y == 0].sum(axis=0) + 1
+    ratio = np.where(pos + neg < 4, 0, np.log(pos / ((y == 1).sum() + 2)) - np.log(neg / ((y == 0).sum() + 2)))
+    x = np.column_stack([has * ratio / np.sqrt(has.sum(axis=1, keepdims=True)), np.ones(120)])
+    side, cost = np.where(y > 0, 1.0, -1.0), np.where(y > 0, 120 / (2 * (y == 1).sum()), 120 / (2 * (y == 0).sum()))
+    objective = lambda w: 0.5 * w @ w + (cost * np.maximum(0, 1 - side * (x @ w))).sum()
+    scaled = np.divide(model.weights[:size].astype(float), ratio, out=np.zeros(size), where=ratio != 0)
+    best, w = np.inf, np.zeros(size + 1)
+    for k in range(1, 40_000):
+        active = side * (x @ w) < 1
+        w -= (w - x.T @ (cost * side * active)) / (k + 50)
+        best = min(best, objective(w))
+    assert objective(np.append(scaled, model.bias)) <= best * 1.02 + 0.05
+    for r in rows[:10]:
+        margin = model.weights[r].sum() / math.sqrt(len(r)) + model.bias
+        assert model.score(r) == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.shift))), abs=1e-6)
+
+
+def test_languages_against_plain_out_of_place_distances(spark, texts):
+    import re
+    from zlib import crc32
+
+    def grams(t):
+        n = Counter()
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            if all(map(str.isalpha, w)):
+                m = f"_{w}_"
+                n.update(m[i : i + k] for k in (1, 2, 3) for i in range(len(m) - k + 1) if m[i : i + k] != "_")
+        return n
+
+    rows = texts[:150] + [(900_000 + i, t, None, None) for i, t in enumerate(["", None, "123 ...", "the", "le la les", "una niña", "ein Häuschen"])]
+    counts: dict[str, Counter] = {}
+    for i, t, lang, _ in rows:
+        if lang and crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(grams(t))
+    profiles = {n: {g: k for k, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:1_000])} for n, c in counts.items()}
+    far = max([300, *map(len, profiles.values())])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.report(docs(spark, rows)).collect()}
+    for i, t, _, _ in rows:
+        own = [g for g, _ in sorted(grams(t).items(), key=lambda x: (-x[1], crc32(x[0].encode())))[:300]]
+        if not own:
+            assert got[i] == ("und", 0.0)
+            continue
+        out = {n: sum(abs(p[g] - k) if g in p else far for k, g in enumerate(own)) for n, p in profiles.items()}
+        least = min(out.values())
+        assert got[i][0] == min(n for n in out if out[n] == least) and got[i][1] == pytest.approx(1 - least / (far * len(own)), abs=1e-9)
+
+
 def test_language_accuracy_and_edges(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op10_rank_order_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
