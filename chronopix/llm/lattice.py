@@ -16,6 +16,7 @@ counts of the others go to their scores by a join on the word.
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,8 +30,8 @@ from chronopix.llm.common import bucket, forget, frequent, only, texts, written
 
 #: Most frequent words whose scores are sent to the executors, each of HEAD_BYTES at most; the rest are joined.
 HEAD, HEAD_BYTES = 200_000, 64
-#: Distinct words a task counts at once; memory only.
-KEPT = 300_000
+#: Distinct words a task counts at once, and their bytes; memory only.
+KEPT, KEPT_BYTES = 300_000, 32 << 20
 #: Words of one length go through the recursion together: marked words of at most LONG characters, CELLS characters at a time; fewer than FEW, and longer ones, go one by one.
 LONG, CELLS, FEW = 64, 400_000, 16
 #: Added to every piece's expected count.
@@ -165,63 +166,45 @@ class Lattice:
         total = math.log(sum(raw))
         return cls(names, [math.log(x) - total for x in raw], byte_names)
 
-    def arcs(self, word: str) -> list[list[tuple[int, float, str | None]]]:
-        """By end, the arcs (start, log score, piece; None for a character by its bytes) of the marked word."""
-        s, get, longest = MARK + word, self.score.get, self.longest
-        out: list[list[tuple[int, float, str | None]]] = [[]]
-        for j in range(1, len(s) + 1):
-            here = []
-            for i in range(max(0, j - longest), j):
-                p = get(s[i:j])
-                if p is not None:
-                    here.append((i, p, s[i:j]))
-            if not here or here[-1][0] != j - 1:
-                here.append((j - 1, sum(self.byte[b] for b in s[j - 1].encode()), None))
-            out.append(here)
-        return out
-
-    def forward(self, word: str) -> float:
-        """Log of the sum over all segmentations."""
+    def _alphas(self, word: str) -> array:
+        """By end, the log of the sum over all segmentations of the marked word up to there."""
         s, get, longest, exp, log = MARK + word, self.score.get, self.longest, math.exp, math.log
-        alpha = [0.0]
+        alpha = array("d", [0.0])
         for j in range(1, len(s) + 1):
-            terms = []
             p = get(s[j - 1 : j])
-            terms.append(alpha[j - 1] + (sum(self.byte[b] for b in s[j - 1].encode()) if p is None else p))
+            terms = [alpha[j - 1] + (sum(self.byte[b] for b in s[j - 1].encode()) if p is None else p)]
             for i in range(max(0, j - longest), j - 1):
                 p = get(s[i:j])
                 if p is not None:
                     terms.append(alpha[i] + p)
-            if len(terms) == 1:
-                alpha.append(terms[0])
-            else:
-                m = max(terms)
-                alpha.append(m + log(sum([exp(t - m) for t in terms])))
-        return alpha[-1]
+            m = max(terms)
+            alpha.append(terms[0] if len(terms) == 1 else m + log(sum([exp(t - m) for t in terms])))
+        return alpha
+
+    def forward(self, word: str) -> float:
+        """Log of the sum over all segmentations."""
+        return self._alphas(word)[-1]
 
     def expected(self, word: str, weight: float, into: dict[int, float]) -> None:
-        """Adds weight times the expected number of each piece over the word's segmentations."""
-        arcs = self.arcs(word)
-        n = len(arcs) - 1
-        add = lambda terms: terms[0] if len(terms) == 1 else (m := max(terms)) + math.log(sum([math.exp(t - m) for t in terms]))
-        alpha = [0.0]
-        for j in range(1, n + 1):
-            alpha.append(add([alpha[i] + p for i, p, _ in arcs[j]]))
-        behind: list[list[float]] = [[] for _ in range(n + 1)]
-        behind[n].append(0.0)
-        for j in range(n, 0, -1):
-            if not behind[j]:
-                continue
-            beta = add(behind[j])
-            for i, p, piece in arcs[j]:
-                behind[i].append(beta + p)
-                e = weight * math.exp(alpha[i] + p + beta - alpha[n])
-                if piece is None:
-                    for b in (MARK + word)[j - 1].encode():
-                        k = self.index[self.bytes[b]]
-                        into[k] = into.get(k, 0.0) + e
-                else:
-                    k = self.index[piece]
+        """Adds weight times the expected number of each piece over the word's segmentations. Memory is two numbers a character."""
+        s, get, longest, exp, log = MARK + word, self.score.get, self.longest, math.exp, math.log
+        alpha, n = self._alphas(word), len(word) + 1
+        beta = array("d", bytes(8 * (n + 1)))
+        for i in range(n - 1, -1, -1):
+            terms, pieces = [], []
+            for j in range(i + 1, min(n, i + longest) + 1):
+                p = get(s[i:j])
+                if p is not None:
+                    terms.append(p + beta[j])
+                    pieces.append([self.index[s[i:j]]])
+                elif j == i + 1:
+                    terms.append(sum(self.byte[b] for b in s[i].encode()) + beta[j])
+                    pieces.append([self.index[self.bytes[b]] for b in s[i].encode()])
+            m = max(terms)
+            beta[i] = m + log(sum([exp(t - m) for t in terms]))
+            for t, ks in zip(terms, pieces, strict=True):
+                e = weight * exp(alpha[i] + t - alpha[n])
+                for k in ks:
                     into[k] = into.get(k, 0.0) + e
 
 
@@ -231,6 +214,7 @@ def _types(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every: Counter[bytes] = Counter()
         held: Counter[bytes] = Counter()
+        met = 0
 
         def out() -> pa.RecordBatch:
             keys = list(every)
@@ -244,10 +228,12 @@ def _types(documents: DataFrame) -> DataFrame:
                 every.update(words)
                 if out_of:
                     held.update(words)
-                if len(every) > KEPT:
+                met += len(text)
+                if len(every) > KEPT or met > KEPT_BYTES and (met := sum(map(len, every))) > KEPT_BYTES:
                     yield out()
                     every.clear()
                     held.clear()
+                    met = 0
         yield out()
 
     return documents.select("text", "held_out").mapInArrow(run, "word string, n bigint, c bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
