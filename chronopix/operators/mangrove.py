@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chronopix.functions.geometry import Ring, inside
 from chronopix.model import ConfigurationError, Measurement
 from chronopix.operators.base import Statistic, statistic
-from chronopix.sources.regions import read_features
+from chronopix.sources.regions import read_file
 
 
 @statistic("mangrove_canopy_cover")
@@ -23,9 +23,7 @@ class MangroveCover(Statistic):
         if not thresholds:
             raise ConfigurationError("thresholds are needed")
         if shape_file:  # polygons in the units of the grid's coordinates, of which a pixel has so many; y goes down from the origin
-            with open(shape_file, encoding="utf-8") as f:
-                shapes = read_features(f.read())
-            rings = [[((x - origin[0]) / resolution, (origin[1] - y) / resolution) for x, y in r] for s in shapes for r in s["rings"]]
+            rings = [[((x - origin[0]) / resolution, (origin[1] - y) / resolution) for x, y in r] for s in read_file(shape_file) for r in s["rings"]]
         self.thresholds, self.rings, self.centre = list(thresholds), rings, centre
         self.names = {"extent": "extent", "canopy_cover_class": "canopy_cover_class"} | dict(bands or {})
 

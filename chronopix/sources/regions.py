@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -31,6 +32,53 @@ def read_features(text: str, feature_ids: Sequence[Any] | None = None) -> list[d
     return out
 
 
+def read_shapefile(path: str, feature_ids: Sequence[Any] | None = None) -> list[dict]:
+    """Polygon features of a shapefile (.shp with its .dbf), as ``read_features`` gives them; the id is the attribute ID, then id, then the record's place."""
+    with open(path, "rb") as f:
+        shp = f.read()
+    with open(path[: -len(".shp")] + ".dbf", "rb") as f:
+        dbf = f.read()
+    n, start, size = struct.unpack_from("<IHH", dbf, 4)
+    fields, at = [], 32
+    while dbf[at] != 0x0D:
+        name, kind, length = dbf[at : at + 11].split(b"\0")[0].decode(), chr(dbf[at + 11]), dbf[at + 16]
+        fields.append((name, kind, length))
+        at += 32
+    out, at = [], 100
+    for i in range(n):
+        (words,) = struct.unpack_from(">i", shp, at + 4)
+        body, at = at + 8, at + 8 + 2 * words
+        record = start + i * size
+        if dbf[record : record + 1] == b"*":  # deleted
+            continue
+        props, place = {}, record + 1
+        for name, kind, length in fields:
+            text, place = dbf[place : place + length].decode("utf-8", "replace").strip(), place + length
+            props[name] = (float(text) if "." in text or "e" in text.lower() else int(text)) if kind in "NF" and text.strip("*") else text or None
+        (shape,) = struct.unpack_from("<i", shp, body)
+        if shape == 0:
+            continue
+        if shape not in (5, 15, 25):
+            raise ConfigurationError(f"{path} has shapes that are no polygons")
+        parts, points = struct.unpack_from("<ii", shp, body + 36)
+        ends = [*struct.unpack_from(f"<{parts}i", shp, body + 44), points]
+        xy = struct.unpack_from(f"<{2 * points}d", shp, body + 44 + 4 * parts)
+        rings = [[(xy[2 * k], xy[2 * k + 1]) for k in range(a, b)] for a, b in zip(ends, ends[1:], strict=False)]
+        own = props.get("ID", props.get("id"))
+        own = i if own is None else own
+        if feature_ids is None or own in feature_ids:
+            out.append({"feature_id": own, "properties": props, "rings": rings})
+    return out
+
+
+def read_file(path: str, feature_ids: Sequence[Any] | None = None) -> list[dict]:
+    """The features of a shapefile or a GeoJSON file."""
+    if path.lower().endswith(".shp"):
+        return read_shapefile(path, feature_ids)
+    with open(path, encoding="utf-8") as f:
+        return read_features(f.read(), feature_ids)
+
+
 def boundary(features: Sequence[Mapping[str, Any]]) -> list[tuple[float, float]]:
     """The convex hull of all features."""
     return hull(p for f in features for ring in f["rings"] for p in ring)
@@ -61,8 +109,7 @@ def in_tiles(df: DataFrame, tiles: Sequence[tuple[int, int]]) -> DataFrame:
 
 
 def _file(region: Mapping[str, Any]) -> list[dict]:
-    with open(region["from_file"], encoding="utf-8") as f:
-        features = read_features(f.read(), region.get("feature_id"))
+    features = read_file(region["from_file"], region.get("feature_id"))
     if not features:
         raise ConfigurationError("no such features")
     return features

@@ -142,6 +142,40 @@ def test_regions_by_tile_and_by_feature(spark, tmp_path):
         result(config() | {"filter_product": {"method": "by_hydrological_months", "args": {}}}, cat)
 
 
+def shapefile(path, shapes):
+    """A polygon shapefile: [(attributes, rings)], attributes ID (a number) and NAME."""
+    import struct
+
+    records, dbf = b"", b""
+    for i, (props, rings) in enumerate(shapes, 1):
+        points = [p for r in rings for p in r]
+        starts = [sum(len(r) for r in rings[:k]) for k in range(len(rings))]
+        xs, ys = zip(*points, strict=True)
+        body = struct.pack("<i4d2i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        records += struct.pack(">2i", i, len(body) // 2) + body
+        dbf += b" " + f"{props['ID']:>8}".encode() + f"{props['NAME']:<12}".encode()
+    path.with_suffix(".shp").write_bytes(struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(records)) // 2) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8) + records)
+    fields = b"".join(n.ljust(11, b"\0") + k + b"\0" * 4 + bytes([length]) + b"\0" * 15 for n, k, length in ((b"ID", b"N", 8), (b"NAME", b"C", 12)))
+    path.with_suffix(".dbf").write_bytes(struct.pack("<4BIHH20x", 3, 0, 1, 1, len(shapes), 32 + len(fields) + 1, 21) + fields + b"\r" + dbf)
+
+
+def test_features_of_a_shapefile(spark, tmp_path):
+    outer, hole = [(0, 0), (0, 6), (6, 6), (6, 0), (0, 0)], [(2, 2), (4, 2), (4, 4), (2, 4), (2, 2)]
+    shapefile(tmp_path / "s", [({"ID": 7, "NAME": "ring"}, [outer, hole]), ({"ID": 9, "NAME": "box"}, [[(8, 8), (8, 9), (9, 9), (9, 8), (8, 8)]])])
+    path = str(tmp_path / "s.shp")
+    cat = catalog(spark, [row(x, DAY, 1, 5.0, y=y) for x in range(12) for y in range(12)])
+    out = Job.from_config(config(region={"from_file": path, "gridded": False}), cat).run()["out"].collect()
+    assert sorted({r["feature_id"] for r in out}) == [7, 9] and sum(r["feature_id"] == 7 for r in out) == 32 and sum(r["feature_id"] == 9 for r in out) == 1
+    from chronopix.operators import MangroveCover
+    from chronopix.sources.regions import read_file
+
+    assert read_file(path, [9])[0]["properties"] == {"ID": 9, "NAME": "box"}
+    cover = MangroveCover([1.0], shape_file=path, origin=(0.0, 12.0), resolution=1.0)
+    df = spark.createDataFrame([(x, y, 5.0) for x in range(12) for y in range(12)], "x int, y int, v double")
+    got = df.select("x", "y", *[c.alias(n) for n, c in cover.aggregates([Measurement("v", "float64")]).items()]).where("extent = 1").collect()
+    assert {(r["x"], 11 - r["y"]) for r in got} == {(r["x"], r["y"]) for r in out}  # y goes down from the origin
+
+
 def test_cells_that_a_shape_touches():
     grid, rng = GridSpec("", (3.0, 2.0), (1.0, 1.0)), np.random.default_rng(1)
     for _ in range(60):
