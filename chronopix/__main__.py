@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         driver = cfg["storage"].get("driver", "parquet")
         places = {f["feature_id"]: part_name(f, cfg.get("filter_product")) for f in job.features}
-        out = writer(driver)(cfg.get("location") or ".", overwrite=args.overwrite, skip=not args.overwrite, places=places, chunking=cfg["storage"].get("chunking"))
+        out = writer(driver)(cfg.get("location") or ".", overwrite=args.overwrite, skip=not args.overwrite, places=places, chunking=cfg["storage"].get("chunking"), attributes=cfg["global_attributes"], var_attributes=cfg["var_attributes"], **{k: cfg["storage"].get(k) for k in ("tile_size", "resolution", "crs")})
         for name, df in job.run(spark).items():
             product = job.outputs[name]
             df = df.join(tasks.select("tile_x", "tile_y", "epoch_id"), ["tile_x", "tile_y", "epoch_id"], "left_semi") if tasks is not None else df

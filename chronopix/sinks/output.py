@@ -206,6 +206,8 @@ WRITERS = {w.name: w for w in (Writer, CsvWriter, BandWriter, FrameWriter, NoopW
 
 def writer(name: str) -> type[Writer]:
     """A writer by name, whatever its case and spaces."""
+    import chronopix.sinks.rasters  # noqa: F401  registers its own
+
     key = name.replace(" ", "").lower()
     if key not in WRITERS:
         raise ConfigurationError(f"unknown driver {name!r}; known: {', '.join(WRITERS)}")
