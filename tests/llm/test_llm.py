@@ -673,6 +673,18 @@ def test_licence_variants(spark):
     assert licenses.scan(docs(spark)).count() == len(EDGE) and licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_found_licences_are_the_sql_s(spark, con):
+    """Rows whose licence is not null, for both: every known text as it is, some with a changed case and other spellings, some with a word more."""
+    rows = [(i, t, None, None) for i, t in enumerate(licenses.KNOWN.values())]
+    rows += [(1_000 + i, t.upper().replace("LICENSE", "LICENCE"), None, None) for i, t, _, _ in rows] + [(2_000 + i, t + " word", None, None) for i, t, _, _ in rows] + EDGE
+    d = docs(spark, rows)
+    con.register("licensed", d.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
+    found = licenses.scan(d)
+    want = {r[0]: r[2] for r in con.sql(licenses.sql("licensed")).fetchall() if r[0] is not None and r[2]}
+    got = {r["doc_id"]: r["license_id"] for r in found.collect() if r["license_id"]}
+    assert len(want) > 40 and all(got[i] == n for i, n in want.items()) and all(n in licenses.KNOWN for n in got.values()) and not [i for i in got if 2_000 <= i < 3_000]
+
+
 def test_wrapped_copies_of_every_known_text(spark):
     import textwrap
 
