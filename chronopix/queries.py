@@ -360,7 +360,7 @@ def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 add("solar_day_group_fuse_first", _fused, f"WITH {_OBS}, g AS (SELECT *, CAST(t + to_seconds(CAST(x * 3 * 240 AS BIGINT)) AS DATE) AS day FROM obs) SELECT y, x, min(struct_pack(t := t, o := o))['t'] AS time, min(struct_pack(t := t, o := o))['o'] AS ord, arg_min(red, struct_pack(t := t, o := o)) FILTER (red IS NOT NULL) AS red, arg_min(coalesce(nir, 0), struct_pack(t := t, o := o)) AS nir FROM g GROUP BY y, x, day")
 add(
     "wofs_fuse",
-    lambda s, d: _job("none", ["water"], dates=WHOLE, product="obs_utc", group_by="solar_day", fuse_func="datacube.wofs_fuser")(s, d).select("y", "x", _day().alias("day"), "water"),
+    lambda s, d: _job("none", ["water"], dates=WHOLE, product="obs_utc", group_by="solar_day", fuse_func="wofs_fuser")(s, d).select("y", "x", _day().alias("day"), "water"),
     f"WITH {_OBS} SELECT y, x, date_trunc('day', t)::TIMESTAMP AS day, coalesce(arg_max(water, struct_pack(t := t, o := o)) FILTER ((water & 2) = 0), arg_min(water, struct_pack(t := t, o := o))) AS water FROM obs GROUP BY ALL",
 )
 
