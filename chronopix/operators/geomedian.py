@@ -15,6 +15,8 @@ from chronopix.operators.base import Kernel, Statistic, statistic
 #: Numbers of one padded block of pixels; bounds the kernel's memory, whatever the depth of a batch.
 BLOCK = 2_000_000
 ROUNDS = 1_000
+#: What the unit vectors to the other observations may sum to beyond the number of those at the estimate, by observation.
+SETTLED = 1e-6
 
 
 def weiszfeld(x: np.ndarray, valid: np.ndarray, eps: float = 1e-3) -> np.ndarray:
@@ -23,17 +25,21 @@ def weiszfeld(x: np.ndarray, valid: np.ndarray, eps: float = 1e-3) -> np.ndarray
     Weiszfeld's iteration from the mean, with Vardi and Zhang's correction where the estimate is at an observation. Two things
     spare rounds: an observation that satisfies the condition of the optimum is the answer (tried in rounds 1, 2, 4, ...), and
     a Newton step, or a part of one, is taken in place of Weiszfeld's wherever it leaves a smaller sum of distances. It ends when no
-    estimate moves by eps, or after ROUNDS rounds.
+    estimate moves by eps, or after ROUNDS rounds. Estimates that stopped short of the condition of the optimum, as within rounding
+    of an observation that is not the median, are found anew from the best observation.
     """
     n = valid.sum(axis=1)
     x = np.where(valid[:, :, None], x, 0.0)
     with np.errstate(invalid="ignore", divide="ignore"):
         m = x.sum(axis=1) / n[:, None]
     going = np.nonzero(n > 1)[0]
+    unsettled = np.zeros(len(x), bool)
+    unsettled[going] = True
     for r in range(ROUNDS):
         if r & (r + 1) == 0 and len(going):
             nearest, best = _nearest(x[going], valid[going], m[going])
             m[going[best]] = nearest[best]
+            unsettled[going[best]] = False
             going = going[~best]
         if not len(going):
             break
@@ -42,6 +48,58 @@ def weiszfeld(x: np.ndarray, valid: np.ndarray, eps: float = 1e-3) -> np.ndarray
         moved = np.sqrt(((new - ms) ** 2).sum(axis=1))
         m[going] = new
         going = going[moved >= eps]
+    left = np.nonzero(unsettled)[0]
+    if len(left):
+        _, d, w = _distances(x[left], valid[left], m[left])
+        excess = _length(((x[left] - m[left][:, None, :]) * w[:, :, None]).sum(axis=1)) - (valid[left] & (d == 0)).sum(axis=1)
+        for i in left[excess > max(eps, SETTLED) * n[left]].tolist():
+            m[i] = _anew(x[i][valid[i]], max(eps, SETTLED))
+    return m
+
+
+def _length(v: np.ndarray) -> np.ndarray:
+    return np.sqrt((v**2).sum(axis=-1))
+
+
+def _pull(x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The sum of the unit vectors from m to the observations x (time, bands) that are not at it, the weights 1 / distance, and how many are at it."""
+    gap = x - m
+    d = _length(gap)
+    w = np.divide(1.0, d, out=np.zeros_like(d), where=d > 0)
+    return (gap * w[:, None]).sum(axis=0), w, int((d == 0).sum())
+
+
+def _anew(x: np.ndarray, tolerance: float) -> np.ndarray:
+    """The geometric median of x (time, bands), from the observation whose distances sum to the least.
+
+    If that is not the median, no observation is: steps along the pull, then Newton's, each to the least sum along its line, lead down from
+    it and so never meet another. The least along a line is told by the sign of the slope, which is exact where sums only differ by rounding.
+    """
+    some = max(1, BLOCK // x.size)
+    m = x[np.concatenate([_length(x[a : a + some, None, :] - x[None, :, :]).sum(axis=1) for a in range(0, len(x), some)]).argmin()]
+    eye = np.eye(x.shape[1])
+    for _ in range(ROUNDS):
+        pull, w, here = _pull(x, m)
+        if _length(pull) <= here + tolerance * len(x):
+            break
+        way = pull
+        if not here:
+            scaled = (x - m) * (w**1.5)[:, None]
+            newton = np.linalg.lstsq(w.sum() * (1 + 1e-9) * eye - scaled.T @ scaled, pull, rcond=None)[0]
+            way = newton if newton @ pull > 0 else pull
+        slope = lambda s, m=m, way=way: _pull(x, m + s * way)[0] @ way  # noqa: E731  positive while the sum falls
+        low, high = 0.0, 1.0 if not here else 1e-9 * (1 + _length(m)) / _length(way)
+        while slope(high) > 0:
+            low, high = high, 2 * high
+        for _ in range(100):
+            half = (low + high) / 2
+            if half in (low, high):
+                break
+            low, high = (half, high) if slope(half) > 0 else (low, half)
+        new = m + (low or high) * way
+        if (new == m).all():
+            break
+        m = new
     return m
 
 

@@ -242,6 +242,23 @@ def test_geometric_medians_of_series_that_all_but_lie_on_a_line():
     assert GeometricMedian().eps == 1e-3 and Medoid().least == 0
 
 
+def test_geometric_medians_that_come_within_rounding_of_an_observation():
+    """Iteration stops at an observation that is not the median, or beside one that is; sums of distances were up to 7 too large."""
+    for x in (
+        [[6, 0.01, 0.01], [36, 0.04, 0.01], [11, 0.08, 0.05], [2, 0.04, 0.02], [43, 0.02, 0.02], [18, 0.04, 0.03], [10, 0.05, 0.07]],
+        [[31, 0.06, 0.03], [28, 0.06, 0.07], [37, 0.06, 0.02], [34, 0.08, 0.04], [48, 0.04, 0.01], [8, 0.06, 0.01]],
+        [[3, 0.01, 0.03], [10, 0.09, 0.07], [8, 0.08, 0.02], [9, 0.05, 0.07], [40, 0.02, 0.06], [14, 0.05, 0.05]],
+        [[14, 0.08, 0.04], [19, 0.02, 0.07], [15, 0.04, 0.08], [22, 0.06, 0.05], [40, 0.1, 0.01]],
+        [[20, 0.01, 0.07], [49, 0.07, 0.03], [37, 0.03, 0.03], [37, 0.03, 0.05], [42, 0.01, 0.07]],
+        [[19, 0.09, 0.01], [13, 0.06, 0.07], [17, 0.08, 0.03], [17, 0.02, 0.02]],
+    ):
+        x = np.array(x)
+        c = weiszfeld(x[None], np.ones((1, len(x)), bool), 1e-9)[0]
+        far = np.linalg.norm(x - c, axis=1)
+        pull = np.linalg.norm(((x - c)[far > 1e-9] / far[far > 1e-9, None]).sum(axis=0))
+        assert pull <= (far <= 1e-9).sum() + 1e-5 * len(x) + 1e-6
+
+
 @pytest.fixture
 def files(spark, tmp_path):
     rows = [row(x, D(y, 3, 1, 10), 1, float(x + y)) for x in range(20) for y in (2000, 2001)]
