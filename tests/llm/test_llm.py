@@ -256,6 +256,50 @@ def test_wide_fingerprints_and_near_copies(spark, texts):
     assert simhash.bits_apart(0.8) == 39 and simhash.bits_apart(1.0) == 0
 
 
+def test_near_copies_are_those_of_all_pairs(spark, texts, monkeypatch):
+    """Rows kept by similarity are those of an exact comparison of all pairs, whatever comes last in the order of shingles."""
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("ala", "ero", "ini", "ost", "und")]
+    common = [rng.choice(vocabulary) for _ in range(40)]
+    rows = list(texts) + EDGE
+    for k in range(150):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(6, 200))] + common * (k % 3 == 0)
+        rows.append((500_000 + 3 * k, " ".join(words), "en", "s"))
+        for c in (1, 2):  # a chain of changes near the threshold
+            words = list(words)
+            for _ in range(max(1, round(len(words) * rng.uniform(0.005, 0.035)))):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((500_000 + 3 * k + c, " ".join(words), "en", "s"))
+
+    def shingles(text):
+        w = (text or "").encode().lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets = [shingles(t) for _, t, _, _ in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    links = []
+    for i, k in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[k])
+        if sets[i] == sets[k] or 5 * both >= 4 * (len(sets[i]) + len(sets[k]) - both):
+            links.append((i, k))
+            up[root(k)] = root(i)
+    least = {}
+    for i, (d, _, _, _) in enumerate(rows):
+        least[root(i)] = min(least.get(root(i), (True, 0)), (d is None, d or 0))
+    assert len(links) > 200
+    for often, most in ((simhash.FREQUENT, simhash.MOST), (1, 1_000)):
+        monkeypatch.setattr(simhash, "FREQUENT", often)
+        monkeypatch.setattr(simhash, "MOST", most)
+        kept = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in simhash.keep_one(docs(spark, rows), 5, 0.8).collect())
+        assert kept == sorted(least.values())
+
+
 def test_crowded_anchors_and_frequent_fingerprints(spark, monkeypatch):
     """20,000 fingerprints of one half, so at one anchor, compared in pairs of blocks; and fingerprints of many rows joined apart."""
     rng = np.random.default_rng(6)
