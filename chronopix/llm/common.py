@@ -57,6 +57,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of each query go when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes the table behind ``written(...)``; only for one that no plan still to run reads."""
     if getattr(df, "_chronopix_path", None):

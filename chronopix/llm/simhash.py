@@ -12,7 +12,8 @@ For a similarity, texts link whose sets of shingles have that Jaccard similarity
 acos(2 s / (1 + s)) / pi of their bits, on average, and that share of the bits is the threshold. The same anchors are laid over each run of 32 bits.
 No code that is as short covers that many bits, so this finds most links only, and some that are none: its classes are checked on the sets. What it left out is
 found by prefixes: in any one order of all shingles, two sets of similarity s share one of the first |x| - ceil(s |x|) + 1 of each. Frequent shingles come last in
-that order. Pairs that meet so and are not joined yet are checked on the sets, after bounds by size and by parities of shingles, which exclude no link.
+that order. Pairs that meet so and are not joined yet are checked on the sets, after bounds by size and by parities of shingles, which exclude no link. There are
+about as many parities as shingles, so that long texts too are told apart by them, and few sets have to be moved.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronopix.llm.common import arrow_map, forget, frequent, fresh, texts, written
+from chronopix.llm.common import arrow_map, forget, frequent, fresh, swept, texts, written
 
 THRESHOLD = 3
 #: Bits of the fingerprints that a similarity is judged by.
@@ -36,8 +37,10 @@ CHUNK = 65_536
 BLOCK, SAMPLED = 16_384, 1_024
 #: Shingles are counted in one of FREQUENT rows; at most MOST of those met 4 times there come last, by their counts. It changes the work, not the links.
 FREQUENT, MOST = 32, 100_000
-#: Parities of shingles kept of a text, and, folded, where prefixes meet.
+#: Parities of shingles kept of a text at least (of more shingles, the next power of 2), and, folded, where prefixes meet.
 PARITIES, FOLDED = 512, 128
+#: Bits by which rows that are not looked for are left out before texts are moved; with more rows than this, fewer are.
+MARKS = 1 << 23
 #: Rows of one fingerprint, from which on it is joined by broadcast: there are fewer such fingerprints than rows over HOT.
 HOT = 100_000
 
@@ -333,9 +336,26 @@ def _first(size: np.ndarray | int, similarity: float) -> np.ndarray | int:
     return size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
 
 
-def _excluded(parities: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+def _parities(h: np.ndarray) -> bytes:
+    """Of how many shingles fall in each of PARITIES buckets, or as many more as there are shingles, whether it is odd."""
+    n = max(PARITIES, 1 << (len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h >> np.uint64(20)).astype(np.int64) & (n - 1), minlength=n) & 1 > 0).tobytes()
+
+
+def _folded(parities: bytes, n: int) -> np.ndarray:
+    """Parities of n buckets, a power of 2 and no more than there are, as numbers of 64."""
+    return np.bitwise_xor.reduce(np.frombuffer(parities, np.uint64).reshape(-1, n // 64), axis=0)
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """How many parities differ, of as many as both have."""
+    n = 8 * min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, n) ^ _folded(y, n)).sum(dtype=np.int64))
+
+
+def _excluded(differing: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
     """Where differing parities show that sets are less similar: each takes a shingle that only one has."""
-    return np.bitwise_count(parities).sum(axis=1, dtype=np.int64) > sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return differing > sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
 
 
 def _frequent(documents: DataFrame, key: Column, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -368,7 +388,7 @@ def _sketches(documents: DataFrame, key: Column, width: int, similarity: float)
             fps.append(wide_fingerprint(t, width))
             nodes.append(xxh3_64_intdigest(h.tobytes(), 42))
             sizes.append(len(h))
-            parities.append(np.packbits(np.bincount((h >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1 > 0).tobytes())
+            parities.append(_parities(h))
             if len(h):
                 often = np.zeros(len(h), np.int64)
                 if len(hot):
@@ -391,8 +411,7 @@ def _meetings(nodes: DataFrame, similarity: float) -> DataFrame:
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         first = batch.column(4).to_pylist()
         many = np.array([len(x) // 8 for x in first], np.int64)
-        fold = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(batch.num_rows, -1, FOLDED // 64)
-        fold = np.bitwise_xor.reduce(fold, axis=1).view(np.int64)
+        fold = np.array([_folded(x, FOLDED) for x in batch.column(3).to_pylist()], np.uint64).reshape(-1, FOLDED // 64).view(np.int64)
         own = [np.repeat(c, many) for c in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), fold[:, 0], fold[:, 1])]
         return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(first), np.int64)), *map(pa.array, own)], names=["h", "node", "root", "size", "p0", "p1"])
 
@@ -400,7 +419,8 @@ def _meetings(nodes: DataFrame, similarity: float) -> DataFrame:
         h, node, root, size, p0, p1 = c
         ok = (h[i] == h[k]) & (root[i] != root[k]) & (size[i] >= similarity * size[k] - least)
         i, k = i[ok], k[ok]
-        ok = ~_excluded(np.stack([p0[i] ^ p0[k], p1[i] ^ p1[k]], axis=1).view(np.uint64), size[i] + size[k], similarity)
+        differing = np.bitwise_count((p0[i] ^ p0[k]).view(np.uint64)).astype(np.int64) + np.bitwise_count((p1[i] ^ p1[k]).view(np.uint64))
+        ok = ~_excluded(differing, size[i] + size[k], similarity)
         return np.stack([node[i[ok]], node[k[ok]]], axis=1)
 
     def meet(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -452,8 +472,8 @@ def _meetings(nodes: DataFrame, similarity: float) -> DataFrame:
     met = placed.repartition("h").sortWithinPartitions("h", "size", "node").mapInArrow(run, "a bigint, b bigint").distinct()
 
     def bound(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (3, 5))
-        gone = _excluded(x ^ y, batch.column(2).to_numpy() + batch.column(4).to_numpy(), similarity)
+        differing = np.array([_differing(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), strict=True)], np.int64)
+        gone = _excluded(differing, batch.column(2).to_numpy() + batch.column(4).to_numpy(), similarity)
         return batch.select(["a", "b"]).filter(pa.array(~gone))
 
     sides = [nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("parities").alias(f"parities_{c}")) for c in "ab"]
@@ -461,6 +481,15 @@ def _meetings(nodes: DataFrame, similarity: float) -> DataFrame:
     return arrow_map(met, bound, "a bigint, b bigint")
 
 
+def _marked(rows: DataFrame, row: str, used: DataFrame, of: str) -> DataFrame:
+    """The rows whose hash may be one of used: all that are, and few others while those are fewer than MARKS. What is broadcast is bounded by MARKS."""
+    word, marks = fresh(rows, "_word", "_marks")
+    spot = lambda c: F.pmod(F.col(f"`{c}`"), F.lit(MARKS))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (spot(c) % 64).cast("int"))
+    bits = used.groupBy(F.floor(spot(of) / 64).alias(word)).agg(F.bit_or(bit(of)).alias(marks))
+    return rows.withColumn(word, F.floor(spot(row) / 64)).join(F.broadcast(bits), word).where(F.col(marks).bitwiseAND(bit(row)) != 0).drop(word, marks)
+
+
 def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: Column, width: int, similarity: float) -> DataFrame:
     """Of pairs of nodes (a, b) those whose sets of shingles are that similar, from the texts of the nodes' rows (m)."""
     row, node, doc, of = fresh(documents, "_row", "_node", "_doc", "_of")
@@ -470,15 +499,15 @@ def _similar(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, key: Colu
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         ok = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = len(x) + len(y) - len(np.union1d(x, y))
             ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
         return batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     used = nodes.join(used, "node").select(F.col("node").alias(node), F.col("m.doc_id").alias(doc), F.col("m.row").alias(of))
-    keyed = documents.withColumn(row, key)
+    keyed = _marked(documents.withColumn(row, key), row, used, of)
     found = keyed.join(used, keyed["doc_id"].cast("bigint").eqNullSafe(used[doc]) & (keyed[row] == used[of])).select(F.col(node).alias("node"), F.col("text").cast("string").alias("text"))
     made = written(arrow_map(found, sets, "node bigint, hashes binary").dropDuplicates(["node"]), "sets")
     sides = [made.select(F.col("node").alias(c), F.col("hashes").alias(f"hashes_{c}")) for c in "ab"]
@@ -522,7 +551,8 @@ def keep_one(documents: DataFrame, width: int | None = None, similarity: float =
         mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
         labelled = _labelled(rows).groupBy("root", mine.alias("m")).agg(F.count("*").alias("copies"))
     else:
-        labelled = _classes(documents, key, width, similarity)
+        with swept(documents.sparkSession):
+            labelled = _classes(documents, key, width, similarity)
     best = labelled.groupBy("root").agg(F.min(F.struct("m", "copies")).alias("b"))
     row, kept, kept_row, copies = fresh(documents, "_row", "_kept", "_kept_row", "copies")
     best = written(best.select(F.col("b.m.doc_id").alias(kept), F.col("b.m.row").alias(kept_row), F.col("b.copies").alias(copies)), "kept")

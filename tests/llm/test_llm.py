@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronopix.llm import ann, decontaminate, langid, lattice, licenses, mixing, quality, queries, simhash, tokens, toxicity
@@ -300,6 +301,33 @@ def test_near_copies_are_those_of_all_pairs(spark, texts, monkeypatch):
         assert kept == sorted(least.values())
 
 
+def test_few_sets_of_long_texts_are_moved(spark):
+    """Long texts that share a passage and little else are told apart by their parities, which exclude no pair that is similar; only rows looked for are joined."""
+    rng = random.Random(12)
+    vocabulary = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("ala", "ero", "ini", "ost", "und")]
+    passage, rows = [rng.choice(vocabulary) for _ in range(40)], []
+    for k in range(40):
+        words = passage + [rng.choice(vocabulary) for _ in range(rng.randint(1_400, 1_700))]
+        near = list(words)
+        for _ in range(10 * (k % 4)):
+            near[rng.randrange(len(near))] = rng.choice(vocabulary)
+        rows += [(2 * k, " ".join(words), "en", "s"), (2 * k + 1, " ".join(near) + " end", "en", "s")]
+    sets = {i: set(simhash.shingle_set(t.encode(), 5).tolist()) for i, t, _, _ in rows}
+    parities = {i: simhash._parities(simhash.shingle_set(t.encode(), 5)) for i, t, _, _ in rows}
+    parities |= {-n: simhash._parities(np.array(sorted(s)[:n], np.uint64)) for n, s in ((1, sets[0]), (700, sets[0]), (1_200, sets[2]))}
+    sets |= {-n: set(sorted(s)[:n]) for n, s in ((1, sets[0]), (700, sets[0]), (1_200, sets[2]))}
+    assert all(simhash._differing(parities[i], parities[k]) <= len(sets[i] ^ sets[k]) for i, k in itertools.combinations(sets, 2))
+    d = docs(spark, rows)
+    nodes = simhash._sketches(d, F.lit(0).cast("bigint"), 5, 0.8).withColumn("root", F.col("node")).localCheckpoint()
+    ids = {r["node"]: r["doc_id"] for r in nodes.collect()}
+    met = {tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in simhash._meetings(nodes, 0.8).collect()}
+    similar = {(i, k) for i, k in itertools.combinations(range(80), 2) if len(sets[i] & sets[k]) >= 0.8 * len(sets[i] | sets[k])}
+    assert len(similar) == 40 and similar <= met and len(met) <= 44
+    used = spark.createDataFrame([(7,), (-9,), (1 << 40,)], "of bigint")
+    kept = [r["row"] for r in simhash._marked(spark.range(-1_000, 1_000).union(spark.createDataFrame([(1 << 40,)], "id bigint")).toDF("row"), "row", used, "of").collect()]
+    assert {7, -9, 1 << 40} <= set(kept) and len(kept) <= 5
+
+
 def test_crowded_anchors_and_frequent_fingerprints(spark, monkeypatch):
     """20,000 fingerprints of one half, so at one anchor, compared in pairs of blocks; and fingerprints of many rows joined apart."""
     rng = np.random.default_rng(6)
